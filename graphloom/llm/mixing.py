@@ -51,7 +51,7 @@ def _let(value: Column, use) -> Column:
 
 
 def _item(x: Column, mass: Column) -> Column:
-    return F.struct(*[x[k].alias(k) for k in ("doc_id", "key", "size", "whole", "draw")], mass.alias("mass"))
+    return F.struct(*[x[k].alias(k) for k in ("rank", "doc_id", "key", "size", "whole", "draw")], mass.alias("mass"))
 
 
 def _moved(held: Column, x: Column) -> Column:
@@ -102,7 +102,8 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float =
     mass = F.greatest(F.lit(0.0), F.col("rate") - F.col("whole")) * F.col("size")
     draw = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "key"), F.lit(1 << 40)) / float(1 << 40)
     at = F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id", "key"), F.ceil(F.col("n") / block))
-    item = F.struct("doc_id", "key", "size", "whole", draw.alias("draw"), mass.alias("mass"))
+    # Large documents settle first, so that what is left over is small.
+    item = F.struct((-F.col("size")).alias("rank"), "doc_id", "key", "size", "whole", draw.alias("draw"), mass.alias("mass"))
     level = with_rate.withColumn("whole", whole).where("size > 0").select("source", at.alias("block"), item.alias("item"))
     kind = dict(level.dtypes)["item"]
     blocks = targets.agg(F.max(F.ceil(F.col("n") / block))).first()[0] or 1

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphloom.llm import huffman, media, minhash, mixing, packing, pii, vectors, warc
+from graphloom.llm import huffman, language, media, minhash, mixing, packing, pii, quality, vectors, warc
 
 
 def tokenizer_path(name: str) -> str:
@@ -25,6 +25,13 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "error")
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    field = quality.train(docs, _table(spark, sf_dir, "labels").select("doc_id", "quality"))
+    scored = docs.select("doc_id", quality.held_out(F.col("doc_id"), 5, 0).alias("held_out"), quality.score_column(docs, field).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 def op3_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_digests(media.to_media(_table(spark, sf_dir, "documents")))
 
@@ -57,10 +64,16 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = language.predict(docs.select("doc_id", "text"), language.train(docs))
+    return found.select("doc_id", language.held_out(F.col("doc_id"), 3, 1).alias("held_out"), "lid.lang_pred", "lid.score")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (op1_warc, op3_media, op4_embedding_dedup, op5_pii, op6_packing, op7_minhash_dedup, op8_token_output, op9_mixing)
+        for f in (op1_warc, op2_quality, op3_media, op4_embedding_dedup, op5_pii, op6_packing, op7_minhash_dedup, op8_token_output, op9_mixing, op10_language)
     }
 
 
