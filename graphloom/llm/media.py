@@ -98,6 +98,8 @@ class Video:
 
 
 def _chunks(data: memoryview, at: int, end: int) -> Iterator[tuple[bytes, int, int]]:
+    if end > len(data):
+        raise ValueError("the file is cut off")
     while at + 8 <= end:
         name, size = bytes(data[at : at + 4]), struct.unpack_from("<I", data, at + 4)[0]
         if at + 8 + size > end:

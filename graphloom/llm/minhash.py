@@ -231,7 +231,7 @@ def near_texts(
     doc_id is never the one kept, and gets the component of its class.
     """
     known = materialize(sketch(docs, shingle, trees, depth, seed), "sketches")
-    classes = known.where("k1 is not null and doc_id is not null").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"), F.first("sig").alias("sig"))
+    classes = known.where("k1 is not null").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"), F.first("sig").alias("sig")).where("rep is not null")
     classes = materialize(classes, "text-classes")
     found = materialize(regions(classes.select("rep", "sig"), trees, depth, shallow, crowd), "regions")
 
@@ -243,7 +243,7 @@ def near_texts(
     more = materialize(more.join(links, ["a", "b"], "left_anti"), "more-pairs")
     also = confirm(more, docs, shingle, percent)
     if also.limit(1).count():
-        parts = materialize(connected_components(links.union(also), "a", "b"), "parts")
+        parts = materialize(connected_components(parts.select("node", "component").union(also), "node", "component"), "parts")
 
     told = classes.join(parts, F.col("rep") == F.col("node"), "left").where("n > 1 or component is not null")
     told = materialize(told.select("k1", "k2", F.coalesce("component", "rep").alias("component")), "text-parts")

@@ -144,7 +144,7 @@ def near_vectors(
     v = F.col(vector_col).cast("array<double>")
     keyed = rows.select(F.col(id_col).cast("long").alias("vec_id"), F.when(usable(v), v).alias("v"))
     keyed = keyed.withColumn("k1", F.when(F.col("v").isNotNull(), F.xxhash64("v"))).withColumn("k2", F.when(F.col("v").isNotNull(), F.xxhash64(F.lit(1), "v")))
-    classes = keyed.where("v is not null and vec_id is not null").groupBy("k1", "k2").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"), F.first("v").alias("v"))
+    classes = keyed.where("v is not null").groupBy("k1", "k2").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"), F.first("v").alias("v")).where("rep is not null")
     classes = materialize(classes, "vector-classes")
 
     n = classes.count()
