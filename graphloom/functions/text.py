@@ -30,7 +30,7 @@ def stripped_article_text(title: Column, content: Column, chars: int = 2000) ->
 
 def compose_content(*parts: Column) -> Column:
     """Distinct non-empty parts in order, a blank line between."""
-    kept = F.filter(F.transform(F.array(*parts), lambda p: F.trim(F.coalesce(p, F.lit("")))), lambda p: p != "")
+    kept = F.filter(F.transform(F.array(*parts), lambda p: strip(F.coalesce(p, F.lit("")))), lambda p: p != "")
     return F.array_join(F.array_distinct(kept), "\n\n")
 
 
@@ -94,7 +94,7 @@ def llm_json(text: Column) -> Column:
     """The JSON within an answer: a fence labelled json, else any fence, else all of it."""
     fenced = F.regexp_extract(text, r"(?s)```json(.*?)```", 1)
     plain = F.regexp_extract(text, r"(?s)```(.*?)```", 1)
-    return F.trim(F.when(fenced != "", fenced).when(plain != "", plain).otherwise(text))
+    return strip(F.when(fenced != "", fenced).when(plain != "", plain).otherwise(text))
 
 
 def retry_after(message: Column) -> Column:

@@ -33,7 +33,7 @@ def nearest(queries: DataFrame, rows: DataFrame, k: int, key: str | None = None,
 
     def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
-            return pd.DataFrame({"id1": [], "id2": [], "cos": []})
+            return pd.DataFrame({"id1": left["id1"].iloc[:0], "id2": right["id2"].iloc[:0], "cos": np.zeros(0)})
         right = right.sort_values("id2", kind="stable")
         unit = lambda v: (x := np.array(v.tolist(), np.float64)) / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
         u, w = unit(left["v1"]), unit(right["v2"])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import shutil
 import tempfile
 import uuid
@@ -40,3 +41,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Let go of the shuffle files of finished jobs.
+
+    The driver notices that a shuffle is no longer needed when it collects its garbage, which on a
+    large heap may come long after the disks of the executors are full.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
