@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from graphloom.llm import minhash, mixing, packing, pii, quality
 from graphloom.llm.queries import tokenizer_path
-from graphloom.storage import materialize
+from graphloom.storage import materialize, release_shuffles
 
 
 def filter_quality(spark: SparkSession, docs: DataFrame, sf_dir: str, least: float = 0.3) -> DataFrame:
@@ -69,4 +69,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
             docs = materialize(docs, f"stage-{name}")
+            release_shuffles(spark)
     return docs

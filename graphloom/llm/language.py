@@ -98,6 +98,6 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
     def told(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for b in batches:
             parts = [batch(part) for part in slices(b.tolist(), 1 << 20)]
-            yield pd.concat(parts, ignore_index=True) if parts else pd.DataFrame({"lang_pred": [], "score": []})
+            yield pd.concat(parts, ignore_index=True) if parts else pd.DataFrame({"lang_pred": np.zeros(0, object), "score": np.zeros(0)})
 
     return docs.withColumn("lid", told(F.col("text").cast("string")))

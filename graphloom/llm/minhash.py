@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graphloom.functions.components import connected_components
-from graphloom.storage import materialize
+from graphloom.storage import materialize, release_shuffles
 
 M1, M2, M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 _words: dict[bytes, int] = {}
@@ -236,12 +236,14 @@ def near_texts(
     found = materialize(regions(classes.select("rep", "sig"), trees, depth, shallow, crowd), "regions")
 
     links = confirm(materialize(candidate_pairs(found, least, False), "pairs"), docs, shingle, percent)
+    release_shuffles(docs.sparkSession)  # those that moved texts
     parts = materialize(connected_components(links, "a", "b"), "parts")
     named = found.join(parts, F.col("rep") == F.col("node"), "left").select("region", "rep", "sig", F.coalesce("component", "rep").alias("part"))
     split = materialize(named.groupBy("region").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("region"), "split")
     more = candidate_pairs(named.join(split, "region"), least, True)
     more = materialize(more.join(links, ["a", "b"], "left_anti"), "more-pairs")
     also = confirm(more, docs, shingle, percent)
+    release_shuffles(docs.sparkSession)
     if also.limit(1).count():
         parts = materialize(connected_components(parts.select("node", "component").union(also), "node", "component"), "parts")
 
