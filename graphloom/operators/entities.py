@@ -116,3 +116,27 @@ def _within_batch(fresh: DataFrame, dim: int, least: float, ratio: float, weight
         return pd.DataFrame(out, columns=["mention_key", "canonical_name", "is_new", "score"])
 
     return rows.groupBy("block").applyInPandas(replay, "mention_key string, canonical_name string, is_new boolean, score double")
+
+
+def merge_entities(state: DataFrame, mentions: DataFrame, resolved: DataFrame, now: str) -> DataFrame:
+    """The entity table after a batch: canonical_id, name, type, aliases, count, first and last seen.
+
+    state: schema.ENTITY without vectors. mentions: text, entity_type, ord. resolved: mention_key,
+    canonical_name. Counts add up, aliases other than the name are joined, a known type of the
+    last mention wins, and unseen names become new entities under a hash of their name.
+    """
+    seen = F.lit(now).cast("timestamp")
+    told = mentions.withColumn("mention_key", strip(F.col("text"))).join(resolved.select("mention_key", "canonical_name"), "mention_key")
+    known = F.when(F.col("entity_type") != "Unknown", F.col("entity_type"))
+    new = told.groupBy("canonical_name").agg(
+        F.count("*").alias("added"), F.max_by(known, F.when(known.isNotNull(), F.col("ord"))).alias("new_type"),
+        F.collect_set(F.when(F.col("mention_key") != F.col("canonical_name"), F.col("mention_key"))).alias("new_aliases"),
+    )
+    out = state.join(new, "canonical_name", "full_outer")
+    none = F.array().cast("array<string>")
+    return out.select(
+        F.coalesce("canonical_id", F.sha2("canonical_name", 256)).alias("canonical_id"), "canonical_name", F.coalesce("new_type", "entity_type", F.lit("Unknown")).alias("entity_type"),
+        F.array_sort(F.array_union(F.coalesce("aliases", none), F.coalesce("new_aliases", none))).alias("aliases"),
+        (F.coalesce("mention_count", F.lit(0)) + F.coalesce("added", F.lit(0))).alias("mention_count"),
+        F.coalesce("first_seen", seen).alias("first_seen"), F.when(F.col("added").isNotNull(), seen).otherwise(F.col("last_seen")).alias("last_seen"),
+    )

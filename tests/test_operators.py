@@ -288,3 +288,12 @@ def test_pipeline_end_to_end(spark, tmp_path):
     again = Run(spark, str(tmp_path / "in"), str(tmp_path / "out"), "2024-01-01 00:00:00", from_stage="triples", skip_llm=True).run()
     assert again["triples"].count() == 0 and again["nodes"].where("type = 'Event'").count() == t["events"].count()
     assert sinks.nodes_table(t["nodes"]).where("name is null").count() == 0
+
+
+def test_merge_entities(spark):
+    state = spark.sql("select 'id1' as canonical_id, 'USA' as canonical_name, 'Unknown' as entity_type, array('America') as aliases, 2L as mention_count, timestamp '2020-01-01' as first_seen, timestamp '2020-01-01' as last_seen")
+    mentions = spark.createDataFrame([("USA", "Country", 1), ("the US", "Unknown", 2), ("Modi", "Person", 3)], "text string, entity_type string, ord long")
+    resolved = spark.createDataFrame([("USA", "USA"), ("the US", "USA"), ("Modi", "Modi")], "mention_key string, canonical_name string")
+    got = {r.canonical_name: r for r in entities.merge_entities(state, mentions, resolved, "2024-01-01").collect()}
+    assert (got["USA"].entity_type, got["USA"].aliases, got["USA"].mention_count, got["USA"].first_seen.year, got["USA"].last_seen.year) == ("Country", ["America", "the US"], 4, 2020, 2024)
+    assert got["Modi"].mention_count == 1 and got["Modi"].aliases == [] and got["Modi"].entity_type == "Person"
