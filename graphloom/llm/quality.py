@@ -176,7 +176,7 @@ def held_out(doc_id: Column, folds: int, fold: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % folds == fold
 
 
-def train(docs: DataFrame, labels: DataFrame, fit_docs: int = 3_000, fit_lines: int = 400) -> Field:
+def train(docs: DataFrame, labels: DataFrame, fit_docs: int = 3_000, fit_lines: int = 120) -> Field:
     """Fit on labelled rows outside the held-out fold, ``fit_docs`` of them at most.
 
     Rows are drawn by a hash of doc_id; texts of over ``fit_lines`` lines are left out of the fit.
