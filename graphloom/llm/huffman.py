@@ -72,6 +72,8 @@ class Codec:
         self.lengths = lengths.astype(np.uint8)
         self.codes = canonical_codes(self.lengths)
         self.top = int(self.lengths.max(initial=1))
+        self.left = self.codes << (64 - self.lengths.astype(np.uint64))  # codes at the upper end; without a code, 0
+        self.left[self.lengths == 0] = 0
         used = np.flatnonzero(self.lengths)
         order = used[np.lexsort((used, self.lengths[used]))]
         span = 1 << (self.top - self.lengths[order].astype(np.int64))
@@ -90,7 +92,7 @@ class Codec:
         total = int(end[-1]) if len(ids) else 0
         words = np.zeros(total // 32 + 2, np.uint64)
         if len(ids):
-            value = self.codes[ids] << (64 - size - (begin & 31)).astype(np.uint64)
+            value = self.left[ids] >> (begin & 31).astype(np.uint64)
             word = begin >> 5
             first = np.flatnonzero(np.diff(word, prepend=-1))
             words[word[first]] += np.add.reduceat(value >> np.uint64(32), first)

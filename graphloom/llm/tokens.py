@@ -9,19 +9,32 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 
 import numpy as np
 
 # How the two public pre-tokenizers cut text, for ASCII and the letters of Latin-1.
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 SHORT = "'s|'t|'re|'ve|'m|'ll|'d"
-NOT_PLAIN = {"word": re.compile(r"[^ -~\nÀ-ÖØ-öø-ÿ]"), "byte": re.compile(r"[^ -~\nÀ-ÖØ-öø-ÿ]|[ \n][ \n]|[ \n]\Z")}
+PLAIN = bytes([10, *range(32, 127), *range(0xC0, 0xD7), *range(0xD8, 0xF7), *range(0xF8, 0x100)])
+GAPS = (b"  ", b" \n", b"\n ", b"\n\n")
 PIECES = {
     "word": re.compile(rf"{SHORT}|[{LETTERS}]+|[0-9]|[^\s{LETTERS}0-9]+"),
     "byte": re.compile(rf"{SHORT}| ?[{LETTERS}]+| ?[0-9]+| ?[^\s{LETTERS}0-9]+|\n"),
 }
 
 
+def _plain(text: str, kind: str) -> bool:
+    """Whether the pieces below are those of the library. Byte-level pieces also need single gaps."""
+    try:
+        raw = text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    if raw.translate(None, PLAIN):
+        return False
+    return kind == "word" or not (raw[-1] in b" \n" or any(g in raw for g in GAPS))
+
+
 def _byte_letters() -> dict[int, str]:
     """The printable stand-in of each byte, as byte-level vocabularies write it."""
     own = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -29,63 +42,45 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(256 + k) for k, b in enumerate(rest)}
 
 
+class Remembered(dict):
+    """Encoded pieces by their text. What is asked for and missing is learned."""
+
+    def __init__(self, model, letters: dict[int, str], old: dict[str, bytes]):
+        self.tokenize, self.letters, self.old = model.tokenize, letters, old
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.old.get(piece)
+        if ids is None:
+            spelled = piece if piece.isascii() and piece.isalnum() else "".join(map(self.letters.__getitem__, piece.encode()))
+            ids = array("I", [t.id for t in self.tokenize(spelled)]).tobytes()
+        self[piece] = ids
+        return ids
+
+
 class Encoder:
     """ids of texts, as little-endian unsigned 32-bit bytes.
 
     path: a tokenizer file of byte-level kind (kind="byte") or word kind (kind="word": lower
-    case, white space dropped). remember: how many pieces are kept at most, in two generations;
-    this bounds memory and changes no result.
+    case, white space dropped). remember: how many pieces are kept, about, in two generations, of
+    which the older goes; this bounds memory and changes no result.
     """
 
-    def __init__(self, path: str, kind: str, remember: int = 600_000):
+    def __init__(self, path: str, kind: str, remember: int = 1_000_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
         self.whole.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.model, self.kind, self.remember = self.whole.model, kind, remember
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.letters = _byte_letters()
-
-    def _library(self, text: str) -> bytes:
-        return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _learn(self, pieces: set[str]) -> None:
-        """Encode what isn't remembered; what was used last stays longest."""
-        new = pieces.difference(self.young)
-        if len(self.young) + len(new) > self.remember // 2:
-            self.old, self.young, new = self.young, {}, pieces
-        young, old, letters, tokenize = self.young, self.old, self.letters, self.model.tokenize
-        for p in new:
-            if (known := old.get(p)) is None:
-                spelled = p if p.isascii() and p.isalnum() else "".join(map(letters.__getitem__, p.encode()))
-                ids = [t.id for t in tokenize(spelled)]
-                known = b"".join([i.to_bytes(4, "little") for i in ids])
-            young[p] = known
+        self.kind, self.remember = kind, remember
+        self.known = Remembered(self.whole.model, _byte_letters(), {})
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """One bytes object for each text; null counts as empty."""
-        out: list[bytes] = [b""] * len(texts)
-        group: list[tuple[int, list[str]]] = []
-        size, odd, cut = 0, NOT_PLAIN[self.kind], PIECES[self.kind]
-        for k, t in enumerate(texts):
-            if not t:
-                continue
-            if odd.search(t):
-                out[k] = self._library(t)
-                continue
-            group.append((k, cut.findall(t.lower() if self.kind == "word" else t)))
-            size += len(group[-1][1])
-            if size > 100_000:
-                self._flush(group, out)
-                group, size = [], 0
-        self._flush(group, out)
-        return out
-
-    def _flush(self, group: list[tuple[int, list[str]]], out: list[bytes]) -> None:
-        if group:
-            self._learn(set().union(*(c for _, c in group)))
-            get = self.young.__getitem__
-            for k, c in group:
-                out[k] = b"".join(map(get, c))
+        return [self.encode_one(t) if t else b"" for t in texts]
+
+    def encode_one(self, text: str) -> bytes:
+        if not _plain(text, self.kind):
+            return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        if len(self.known) > self.remember // 2:
+            self.known = Remembered(self.whole.model, self.known.letters, dict(self.known))
+        return b"".join(map(self.known.__getitem__, PIECES[self.kind].findall(text.lower() if self.kind == "word" else text)))
