@@ -1,0 +1,30 @@
+"""A filter of fixed size that keeps rows which can't join away from a shuffle."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+
+def may_hold(ids: DataFrame, column: str, bits: int = 1 << 25) -> Callable[[Column], Column]:
+    """A test of id columns: true for every id of the table, and for few others while it has far fewer ids than bits.
+
+    The bitmap takes ``bits`` / 8 bytes however many ids there are (4 MB), so it may be broadcast; with
+    more ids it lets more through, and the join that follows decides.
+    """
+    place = F.pmod(F.xxhash64(F.col(column).cast("long")), F.lit(bits))
+    cells = ids.select(place.alias("place")).select((F.col("place") / 64).cast("long").alias("word"), F.expr("shiftleft(1L, cast(place % 64 as int))").alias("bit"))
+    words = cells.groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()  # bits / 64 rows at most
+    table = np.zeros(bits // 64, np.uint64)
+    table[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).view(np.uint64)
+    sent = ids.sparkSession.sparkContext.broadcast(table)
+
+    def has(at: pd.Series) -> pd.Series:
+        k = at.to_numpy(np.int64)
+        return pd.Series((sent.value[k >> 6] >> (k & 63).astype(np.uint64)) & np.uint64(1) == 1)
+
+    return lambda c: F.pandas_udf(has, "boolean")(F.pmod(F.xxhash64(c.cast("long")), F.lit(bits)))
