@@ -22,7 +22,7 @@ from graphloom.llm.tokens import Encoder
 from graphloom.storage import materialize
 
 #: Pieces of one length that one task ranks, about.
-RANKED_TOGETHER = 2_000
+RANKED_TOGETHER = 250
 _encoders: dict[tuple[str, str], Encoder] = {}
 
 
