@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from graphloom.functions.idfilter import may_hold
 from graphloom.llm import minhash, mixing, packing, pii, quality
 from graphloom.llm.queries import tokenizer_path
 from graphloom.storage import materialize, release_shuffles
@@ -23,7 +24,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """
     found = materialize(minhash.near_texts(docs, shingle=5, percent=80).select("doc_id", "kept").where("doc_id is not null"), "near-texts")
     dropped = found.where("not kept").select(F.col("doc_id").alias("dropped_id")).distinct()
-    kept = docs.join(dropped, F.col("doc_id") == F.col("dropped_id"), "left_anti")
+    dropped = materialize(dropped, "dropped")
+    asked = may_hold(dropped, "dropped_id")(F.col("doc_id"))
+    marked = docs.withColumn("dedup_asked", F.coalesce(asked, F.lit(True)))
+    doubted = marked.where("dedup_asked").drop("dedup_asked").join(dropped, F.col("doc_id") == F.col("dropped_id"), "left_anti")
+    kept = marked.where("not dedup_asked").drop("dedup_asked").union(doubted)  # what is surely kept needn't move
     if found.groupBy("doc_id").count().where("count > 1").limit(1).count():
         order = Window.partitionBy("doc_id").orderBy(*[c for c, kind in docs.dtypes if not kind.startswith("map")])
         kept = kept.withColumn("copy_rank", F.row_number().over(order)).where("copy_rank = 1 or doc_id is null").select(*docs.columns)

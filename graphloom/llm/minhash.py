@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graphloom.functions.components import connected_components
+from graphloom.functions.idfilter import may_hold
 from graphloom.storage import materialize, release_shuffles
 
 M1, M2, M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
@@ -114,22 +115,23 @@ def regions(classes: DataFrame, trees: int, depth: int, shallow: int, crowd: int
     for more, members are dealt to blocks, each of which also holds the region's smallest member.
     """
     width = 2 * depth
-    prefix = lambda d: F.xxhash64("tree", F.lit(d), F.expr(f"substring(sig, 1 + tree * {width}, {2 * d})"))
-    members = classes.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
     levels = list(dict.fromkeys([shallow, min(depth, shallow + 1), depth]))
+    prefix = lambda d: F.xxhash64("tree", F.lit(d), F.expr(f"substring(sig, 1 + tree * {width}, {2 * d})")).alias(f"at{d}")
+    # Signatures wait until it is known who has neighbours.
+    members = classes.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).select("rep", *[prefix(d) for d in levels])
     found = None
     for d in levels:
-        keyed = members.withColumn("region", prefix(d)).drop("n_region", "head")
+        keyed = members.withColumn("region", F.col(f"at{d}")).drop("n_region", "head")
         sizes = materialize(keyed.groupBy("region").agg(F.count("*").alias("n_region"), F.min("rep").alias("head")).where("n_region > 1"), "region-sizes")
         keyed = materialize(keyed.join(sizes, "region"), "region-members")
-        small = keyed.where(F.col("n_region") <= crowd).select("region", "rep", "sig")
+        small = keyed.where(F.col("n_region") <= crowd).select("region", "rep")
         found = small if found is None else found.union(small)
         members = keyed.where(F.col("n_region") > crowd)
     blocks = F.ceil(F.col("n_region") / (crowd // 2))
     dealt = members.withColumn("block", F.pmod(F.xxhash64("rep"), blocks))
     heads = members.where("rep = head").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), blocks.cast("long") - 1)))
-    dealt = dealt.select(F.xxhash64("region", "block").alias("region"), "rep", "sig").union(heads.select(F.xxhash64("region", "block").alias("region"), "rep", "sig")).distinct()
-    return found.union(dealt)
+    dealt = dealt.select(F.xxhash64("region", "block").alias("region"), "rep").union(heads.select(F.xxhash64("region", "block").alias("region"), "rep")).distinct()
+    return found.union(dealt).join(classes.select("rep", "sig"), "rep").select("region", "rep", "sig")
 
 
 def _alike(sig: np.ndarray) -> np.ndarray:
@@ -214,7 +216,8 @@ def confirm(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> Da
                 keep.append(len(own) > 0 and 100 * shared >= percent * (len(own) + len(two) - shared))
             yield b.loc[keep, ["a", "b"]]
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    asked = may_hold(pairs.select(F.explode(F.array("a", "b")).alias("id")), "id")  # else every text would move
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(asked(F.col("doc_id")))
     one = pairs.join(texts, F.col("b") == F.col("doc_id")).select("a", "b", F.col("text").alias("text_b"))
     two = one.join(texts, F.col("a") == F.col("doc_id")).select("a", "b", F.col("text").alias("text_a"), "text_b")
     return materialize(two.mapInPandas(run, "a long, b long").distinct(), "links")
