@@ -1,10 +1,11 @@
 """Near-duplicate texts by an LSH forest over MinHash signatures.
 
 Each tree of the forest is an order of documents by a few MinHash values; documents with a long
-common prefix are neighbours. Regions of an order that hold many documents are cut at deeper
-prefixes. Within a region the most similar signatures form a spanning forest of candidate links,
-which are confirmed on full shingle sets. Where a region then still falls apart, all pairs across
-its parts that their signatures allow are confirmed too, so that no region leaves a link out.
+common prefix are neighbours, a region of the order. Within a region, or a block of a crowded one,
+the most similar signatures form a spanning forest of candidate links, which are confirmed on full
+shingle sets. Where a region then still falls apart, the likeliest pairs between its parts are
+confirmed, and then all pairs across its parts that signatures and sizes allow, in pairs of blocks
+where it is crowded, so that no region leaves a link out.
 """
 
 from __future__ import annotations
@@ -107,44 +108,47 @@ def _parts(b: pd.DataFrame, col: str, most: int = 4 << 20) -> Iterator[pd.DataFr
         at = to
 
 
-def regions(classes: DataFrame, trees: int, depth: int, shallow: int, crowd: int) -> DataFrame:
-    """region, rep, sig: neighbourhoods of each tree's order with two members at least.
-
-    A region starts as the documents with a common prefix of ``shallow`` values. One of more than
-    ``crowd`` members is cut by the next values, as deep as needed. Where whole signatures agree
-    for more, members are dealt to blocks, each of which also holds the region's smallest member.
-    """
+def regions(classes: DataFrame, trees: int, depth: int, shallow: int) -> DataFrame:
+    """region, rep, n_region: the documents with a common prefix of ``shallow`` values in a tree, two at least, however many they are."""
     width = 2 * depth
-    levels = list(dict.fromkeys([shallow, min(depth, shallow + 1), depth]))
-    prefix = lambda d: F.xxhash64("tree", F.lit(d), F.expr(f"substring(sig, 1 + tree * {width}, {2 * d})")).alias(f"at{d}")
+    prefix = F.xxhash64("tree", F.expr(f"substring(sig, 1 + tree * {width}, {2 * shallow})"))
     # Signatures wait until it is known who has neighbours.
-    members = classes.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).select("rep", *[prefix(d) for d in levels])
-    found = None
-    for d in levels:
-        keyed = members.withColumn("region", F.col(f"at{d}")).drop("n_region", "head")
-        sizes = materialize(keyed.groupBy("region").agg(F.count("*").alias("n_region"), F.min("rep").alias("head")).where("n_region > 1"), "region-sizes")
-        keyed = materialize(keyed.join(sizes, "region"), "region-members")
-        small = keyed.where(F.col("n_region") <= crowd).select("region", "rep")
-        found = small if found is None else found.union(small)
-        members = keyed.where(F.col("n_region") > crowd)
-    blocks = F.ceil(F.col("n_region") / (crowd // 2))
-    dealt = members.withColumn("block", F.pmod(F.xxhash64("rep"), blocks))
-    heads = members.where("rep = head").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), blocks.cast("long") - 1)))
-    dealt = dealt.select(F.xxhash64("region", "block").alias("region"), "rep").union(heads.select(F.xxhash64("region", "block").alias("region"), "rep")).distinct()
-    return found.union(dealt).join(classes.select("rep", "sig"), "rep").select("region", "rep", "sig")
-
-
-def _alike(sig: np.ndarray) -> np.ndarray:
-    """Share of equal MinHash values for all pairs of a region."""
-    return np.stack([(sig == s).mean(1) for s in sig])
-
-
-def _spanning(rep: np.ndarray, sig: np.ndarray, least: float) -> list[tuple[int, int]]:
-    if len(rep) == 2:
-        return [(rep[0], rep[1])] if (sig[0] == sig[1]).mean() >= least else []
-    s = _alike(sig)
-    i, j = np.nonzero(np.triu(s >= least, 1))
-    root, out = list(range(len(rep))), []
+    members = classes.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).select("rep", prefix.alias("region"))
+    sizes = materialize(members.groupBy("region").agg(F.count("*").alias("n_region")).where("n_region > 1"), "region-sizes")
+    return members.join(sizes, "region").select("region", "rep", "n_region")
+
+
+def dealt(found: DataFrame, crowd: int) -> DataFrame:
+    """region, rep: small regions whole, each of over ``crowd`` members in blocks that also hold its smallest member."""
+    blocks = F.ceil(F.col("n_region") / (crowd // 2)).cast("long")
+    crowded = found.where(F.col("n_region") > crowd).withColumn("block", F.pmod(F.xxhash64("rep", "region"), blocks))
+    heads = crowded.groupBy("region").agg(F.min("rep").alias("rep"), F.first("n_region").alias("n_region"))
+    heads = heads.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    named = lambda df: df.select(F.xxhash64("region", "block").alias("region"), "rep")
+    return found.where(F.col("n_region") <= crowd).select("region", "rep").union(named(crowded).union(named(heads)).distinct())
+
+
+def block_pairs(found: DataFrame, block_rows: int) -> DataFrame:
+    """The rows of region, rep, n_region, ... once for each pair of blocks to be compared.
+
+    region then names the pair of blocks; ``side`` is 0 or 1 for its first and second block, and 2 where a block meets itself.
+    """
+    blocks = F.ceil(F.col("n_region") / block_rows).cast("long")
+    at = found.withColumn("block", F.pmod(F.xxhash64("rep", "region"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    side = F.when(F.col("block") == F.col("other"), 2).when(F.col("block") < F.col("other"), 0).otherwise(1)
+    return at.withColumn("side", side).withColumn("region", F.xxhash64("region", F.least("block", "other"), F.greatest("block", "other"))).drop("block", "other", "n_region")
+
+
+def _alike(sig: np.ndarray, n: np.ndarray, percent: int) -> np.ndarray:
+    """Share of equal MinHash values for all pairs; below 0 where the sizes of the sets rule a link out."""
+    s = np.stack([(sig == x).mean(1) for x in sig])
+    return np.where(100 * np.minimum(n[:, None], n) >= percent * np.maximum(n[:, None], n), s, -1)
+
+
+def _spanning(s: np.ndarray, least: float, apart: np.ndarray, part: np.ndarray) -> list[tuple[int, int]]:
+    """Places of a forest over the parts, of the most similar pairs that are apart."""
+    i, j = np.nonzero(np.triu(apart & (s >= least), 1))
+    root, out = {p: p for p in part.tolist()}, []
 
     def top(x):
         while root[x] != x:
@@ -152,21 +156,20 @@ def _spanning(rep: np.ndarray, sig: np.ndarray, least: float) -> list[tuple[int,
             x = root[x]
         return x
 
+    own = part.tolist()
     for k in np.lexsort((j, j - i, -s[i, j])):  # near in the order first: chains, not stars
-        a, b = top(i[k]), top(j[k])
+        a, b = top(own[i[k]]), top(own[j[k]])
         if a != b:
             root[max(a, b)] = min(a, b)
-            out.append((rep[i[k]], rep[j[k]]))
+            out.append((i[k], j[k]))
     return out
 
 
-def _across(rep: np.ndarray, sig: np.ndarray, part: np.ndarray, least: float) -> list[tuple[int, int]]:
-    i, j = np.nonzero(np.triu((part[:, None] != part[None, :]) & (_alike(sig) >= least), 1))
-    return list(zip(rep[i], rep[j], strict=True))
+def candidate_pairs(found: DataFrame, least: float, percent: int, every: bool = False) -> DataFrame:
+    """Distinct pairs a < b of a table region, rep, sig, n_shingles, part, side, between rows of other parts and not of one side 0 or 1.
 
-
-def candidate_pairs(found: DataFrame, least: float, across: bool) -> DataFrame:
-    """Distinct pairs a < b of a region table; across: those whose ``part`` differs, else a spanning forest."""
+    every: all that their signatures and sizes allow, else a spanning forest over the parts of each region.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None
@@ -180,17 +183,19 @@ def candidate_pairs(found: DataFrame, least: float, across: bool) -> DataFrame:
             if not last:
                 rest, begin = b.iloc[begin[-1] :], begin[:-1]
             ends = [*begin[1:], len(b) if last else len(b) - len(rest)]
-            rep, sig, pairs = b["rep"].to_numpy(), b["sig"].to_numpy(), []
-            part = b["part"].to_numpy() if across else None
+            rep, sig, n, part, side = (b[c].to_numpy() for c in ("rep", "sig", "n_shingles", "part", "side"))
             for a, z in zip(begin, ends, strict=False):
-                if z - a > 1:
-                    s = np.stack([np.frombuffer(x, "<u2") for x in sig[a:z]])
-                    pairs += _across(rep[a:z], s, part[a:z], least) if across else _spanning(rep[a:z], s, least)
-            p = np.array(pairs, np.int64).reshape(-1, 2)
-            yield pd.DataFrame({"a": p.min(1, initial=1 << 62), "b": p.max(1, initial=-(1 << 62))})
+                own, to = part[a:z], side[a:z]
+                apart = (own[:, None] != own) & ((to[:, None] != to) | (to == 2))
+                if apart.any():
+                    s = _alike(np.stack([np.frombuffer(x, "<u2") for x in sig[a:z]]), n[a:z], percent)
+                    at = np.argwhere(np.triu(apart & (s >= least), 1)) if every else np.array(_spanning(s, least, apart, own), np.int64).reshape(-1, 2)
+                    p = rep[a:z][at]
+                    yield pd.DataFrame({"a": p.min(1, initial=1 << 62), "b": p.max(1, initial=-(1 << 62))})
 
     n = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return found.repartition(n, "region").sortWithinPartitions("region", "rep").mapInPandas(run, "a long, b long").where("a <> b").distinct()
+    cols = found.select("region", "rep", "sig", "n_shingles", "part", "side")
+    return cols.repartition(n, "region").sortWithinPartitions("region", "rep").mapInPandas(run, "a long, b long").where("a <> b").distinct()
 
 
 def _with_end(batches):
@@ -225,30 +230,39 @@ def confirm(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> Da
 
 def near_texts(
     docs: DataFrame, shingle: int = 5, percent: int = 80, trees: int = 12, depth: int = 6, shallow: int = 3, crowd: int = 64, least: float = 0.6, seed: int = 29,
+    block_rows: int = 256,
 ) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row.
 
     percent: least Jaccard similarity of shingle sets, in hundredths. least: share of equal MinHash
     values below which a pair is not confirmed; at 72 values it is over four deviations under 0.8.
+    crowd, block_rows: how regions are dealt out to tasks; they leave no pair out.
     Documents without words link with nothing. Rows that share a doc_id are one node. A row without
     doc_id is never the one kept, and gets the component of its class.
     """
     known = materialize(sketch(docs, shingle, trees, depth, seed), "sketches")
-    classes = known.where("k1 is not null").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"), F.first("sig").alias("sig")).where("rep is not null")
-    classes = materialize(classes, "text-classes")
-    found = materialize(regions(classes.select("rep", "sig"), trees, depth, shallow, crowd), "regions")
-
-    links = confirm(materialize(candidate_pairs(found, least, False), "pairs"), docs, shingle, percent)
+    classes = known.where("k1 is not null").groupBy("k1", "k2").agg(
+        F.min("doc_id").alias("rep"), F.count("*").alias("n"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig")
+    )
+    classes = materialize(classes.where("rep is not null"), "text-classes")
+    found = materialize(regions(classes.select("rep", "sig"), trees, depth, shallow), "regions")
+    signed = classes.select("rep", "sig", "n_shingles")
+
+    first = dealt(found, crowd).join(signed, "rep").withColumn("part", F.col("rep")).withColumn("side", F.lit(2))
+    tried = materialize(candidate_pairs(first, least, percent), "pairs")
+    links = confirm(tried, docs, shingle, percent)
     release_shuffles(docs.sparkSession)  # those that moved texts
     parts = materialize(connected_components(links, "a", "b"), "parts")
-    named = found.join(parts, F.col("rep") == F.col("node"), "left").select("region", "rep", "sig", F.coalesce("component", "rep").alias("part"))
-    split = materialize(named.groupBy("region").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("region"), "split")
-    more = candidate_pairs(named.join(split, "region"), least, True)
-    more = materialize(more.join(links, ["a", "b"], "left_anti"), "more-pairs")
-    also = confirm(more, docs, shingle, percent)
-    release_shuffles(docs.sparkSession)
-    if also.limit(1).count():
-        parts = materialize(connected_components(parts.select("node", "component").union(also), "node", "component"), "parts")
+    for every in (False, True):  # the likeliest pair between parts first, then whatever is left between them
+        named = found.join(parts, F.col("rep") == F.col("node"), "left").select("region", "rep", "n_region", F.coalesce("component", "rep").alias("part"))
+        split = materialize(named.groupBy("region").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("region"), "split")
+        rows = block_pairs(named.join(split, "region"), block_rows).join(signed, "rep")
+        more = materialize(candidate_pairs(rows, least, percent, every).join(tried, ["a", "b"], "left_anti"), "more-pairs")
+        also = confirm(more, docs, shingle, percent)
+        release_shuffles(docs.sparkSession)
+        tried = tried.union(more)
+        if also.limit(1).count():
+            parts = materialize(connected_components(parts.select("node", "component").union(also), "node", "component"), "parts")
 
     told = classes.join(parts, F.col("rep") == F.col("node"), "left").where("n > 1 or component is not null")
     told = materialize(told.select("k1", "k2", F.coalesce("component", "rep").alias("component")), "text-parts")

@@ -217,6 +217,15 @@ def test_crowded_near_copies(spark):
     assert got == reference.near_texts(texts, 4)
 
 
+def test_edits_of_an_original_in_the_middle(spark):
+    """A crowded region held together by one text that is not its smallest: edits link with it and not with each other."""
+    base = [f"w{k}" for k in range(300)]
+    texts = {k: " ".join(f"x{k}_{i}" if i in {(k * 7 + j * 60) % 300 for j in range(5)} else w for i, w in enumerate(base)) for k in range(240)}
+    texts[120] = " ".join(base)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_texts(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), shingle=5, crowd=16).collect()}
+    assert got == reference.near_texts(texts, 5)
+
+
 def test_op8(spark, small, docs, odd, none):
     got = rows_of(queries.op8_token_output(spark, small), "doc_id")
     enc = Encoder(tokenizer_path("byte_bpe_50k.json"), "byte").whole
