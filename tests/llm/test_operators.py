@@ -226,6 +226,22 @@ def test_edits_of_an_original_in_the_middle(spark):
     assert got == reference.near_texts(texts, 5)
 
 
+def test_links_of_a_crowded_region_below_its_prefix(spark):
+    """Texts that share a passage crowd a region; a link in it need not agree on more values than the region does."""
+    rng = np.random.default_rng(4)
+    rows = lambda pairs: spark.createDataFrame(pairs, "rep long, sig binary, n_shingles long")
+    sig = rng.integers(0, 1 << 16, (200, 72)).astype("<u2")
+    sig[:, :3] = 7  # one region of the first tree
+    sig[150] = sig[20]
+    sig[150, 3] += 1  # parted at the fourth value; the other trees are made to tell nothing
+    for t in range(1, 12):
+        sig[150, 6 * t] += 1
+    made = rows([(k, s.tobytes(), 100) for k, s in enumerate(sig)])
+    found = minhash.regions(made.select("rep", "sig"), 12, 6, 3)
+    pairs = minhash.candidate_pairs(minhash.block_pairs(found.withColumn("part", F.col("rep")), 32).join(made, "rep"), 0.6, 80, True)
+    assert [tuple(r) for r in pairs.collect()] == [(20, 150)]
+
+
 def test_op8(spark, small, docs, odd, none):
     got = rows_of(queries.op8_token_output(spark, small), "doc_id")
     enc = Encoder(tokenizer_path("byte_bpe_50k.json"), "byte").whole
