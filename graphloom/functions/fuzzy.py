@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,22 +37,55 @@ def indel_ratio_column(a: str, b: str) -> Column:
     return F.pandas_udf(ratios, "double")(a, b)
 
 
-def fuzzy_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, least: float = 85.0, top: int = 5) -> DataFrame:
+def _counts(texts: list[str], chars: dict[str, int], most: int) -> np.ndarray:
+    """A row for each text: whether it has each character once, twice and so on, so that products count common characters."""
+    out = np.zeros((len(texts), len(chars), most), np.float32)
+    for k, t in enumerate(texts):
+        seen: dict[int, int] = {}
+        for ch in t:
+            at = chars[ch]
+            out[k, at, seen.get(at, 0)] = 1
+            seen[at] = seen.get(at, 0) + 1
+    return out.reshape(len(texts), -1)
+
+
+def matches(left: list[str], right: list[str], least: float) -> list[tuple[str, str, float]]:
+    """All pairs of a ratio above ``least``; the ratio is taken where enough characters are common."""
+    chars = {c: k for k, c in enumerate(sorted(set("".join(left)) | set("".join(right))))}
+    most = max((t.count(c) for t in (*left, *right) for c in set(t)), default=1)
+    a, b = _counts(left, chars, most), _counts(right, chars, most)
+    n = np.array([len(t) for t in left])[:, None] + np.array([len(t) for t in right])
+    found = np.argwhere(200.0 * (a @ b.T) > least * n - 1e-6)
+    told = ((left[i], right[j], indel_ratio(left[i], right[j])) for i, j in found)
+    return [x for x in told if x[2] > least]
+
+
+def fuzzy_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, least: float = 85.0, top: int = 5, block: int = 512) -> DataFrame:
     """Each distinct left key with its ``top`` best right rows of a ratio above ``least``.
 
     Keys compare as sorted tokens. A ratio above r needs common characters: strings whose lengths
-    differ too much are out, and so are those whose character counts overlap too little. Blocks by
-    length band keep the join an equi-join; no pair outside neighbouring bands can pass.
+    differ too much are out, and so are those whose character counts overlap too little. No pair
+    outside neighbouring bands of lengths can pass. Within bands, blocks of distinct strings meet
+    in pairs, and matrix products count the characters that they have in common.
     """
     import math
 
     step = math.log(200.0 / least - 1)  # longest over shortest length that can still pass
     band = lambda c: F.floor(F.log(F.greatest(F.length(c), F.lit(1)).cast("double")) / step).cast("int")
     one = left.select(F.col(left_key).alias("left_key")).distinct().withColumn("left_sorted", token_sort(F.col("left_key")))
-    two = right.withColumn("right_sorted", token_sort(F.col(right_key))).withColumn("band", band(F.col("right_sorted")))
-    one = one.withColumn("band", F.explode(F.array(*[band(F.col("left_sorted")) + d for d in (-1, 0, 1)])))
-    short, long = F.least(F.length("left_sorted"), F.length("right_sorted")), F.greatest(F.length("left_sorted"), F.length("right_sorted"))
-    pairs = one.join(two, "band").where(200.0 * short > least * (short + long))
-    scored = pairs.withColumn("ratio", indel_ratio_column("left_sorted", "right_sorted")).where(F.col("ratio") > least)
+    two = right.select(F.struct(*right.columns).alias("own"), token_sort(F.col(right_key)).alias("right_sorted"))
+    a = one.select("left_sorted").where("left_sorted <> ''").distinct().withColumn("band", F.explode(F.array(*[band(F.col("left_sorted")) + d for d in (-1, 0, 1)])))
+    b = two.select("right_sorted").where("right_sorted <> ''").distinct().withColumn("band", band(F.col("right_sorted")))
+    blocks = lambda df, name: df.groupBy("band").agg(F.ceil(F.count("*") / block).cast("int").alias(name))
+    sizes = blocks(a, "n1").join(blocks(b, "n2"), "band")
+    a = a.join(sizes, "band").select("band", "left_sorted", F.pmod(F.xxhash64("left_sorted"), F.col("n1")).cast("int").alias("b1"), F.explode(F.sequence(F.lit(0), F.col("n2") - 1)).alias("b2"))
+    b = b.join(sizes, "band").select("band", "right_sorted", F.explode(F.sequence(F.lit(0), F.col("n1") - 1)).alias("b1"), F.pmod(F.xxhash64("right_sorted"), F.col("n2")).cast("int").alias("b2"))
+
+    def meet(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+        found = matches(x["left_sorted"].tolist(), y["right_sorted"].tolist(), least) if len(x) and len(y) else []
+        return pd.DataFrame(found, columns=["left_sorted", "right_sorted", "ratio"]).astype({"ratio": "float64"})
+
+    met = a.groupBy("band", "b1", "b2").cogroup(b.groupBy("band", "b1", "b2")).applyInPandas(meet, "left_sorted string, right_sorted string, ratio double")
+    scored = one.join(met, "left_sorted").join(two, "right_sorted").select("left_key", "own.*", "ratio")
     order = Window.partitionBy("left_key").orderBy(F.desc("ratio"), *[F.asc(c) for c in right.columns if dict(right.dtypes)[c] != "array"])
-    return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top).drop("band", "left_sorted", "right_sorted")
+    return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)

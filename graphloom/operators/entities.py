@@ -65,7 +65,7 @@ def resolve(mentions: DataFrame, state: DataFrame, dim: int = 64, least: float =
 
     mentions: text, ord. state: canonical_name, aliases. Rounds: an exact name or alias, then fused
     candidates among state, then the rest of the batch among itself in order of first appearance,
-    replayed in blocks of candidate edges, so that each text meets all earlier ones it could match.
+    replayed in blocks of texts near enough to match, so that each text meets all earlier ones it could match.
     """
     seen = mentions.withColumn("mention_key", strip(F.col("text"))).where("mention_key <> ''").groupBy("mention_key").agg(F.min("ord").alias("ord"))
     seen = materialize(seen.withColumn("norm", normalize_entity(F.col("mention_key"))), "mention-keys")
@@ -88,14 +88,34 @@ def resolve(mentions: DataFrame, state: DataFrame, dim: int = 64, least: float =
     )
 
 
+def _alike(rows: DataFrame, least: float, block: int = 1024) -> DataFrame:
+    """src, dst: links that join all of the rows v, vector whose cosines reach ``least``, by matrix products of pairs of blocks."""
+    blocks = max(1, -(-rows.count() // block))
+    at = rows.withColumn("block", F.pmod(F.xxhash64(F.lit(1), "v"), F.lit(blocks)).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+
+    def link(group: pd.DataFrame) -> pd.DataFrame:
+        x, v = np.array(group["vector"].tolist(), np.float64), group["v"].to_numpy()
+        near = x @ x.T >= least
+        root = np.arange(len(x))
+        while True:
+            low = np.minimum(root, np.where(near, root[None, :], len(x)).min(1))
+            low = low[low]
+            if (low == root).all():
+                return pd.DataFrame({"src": v, "dst": v[root]})
+            root = low
+
+    return at.groupBy(F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second")).applyInPandas(link, "src long, dst long").where("src <> dst")
+
+
 def _within_batch(fresh: DataFrame, dim: int, least: float, ratio: float, weight: float) -> DataFrame:
     numbered = fresh.withColumn("k", F.xxhash64("mention_key"))
     vec = hashed_embedding(numbered, "k", "norm", dim)
-    near = nearest(vec, vec, 6).where(l2sq_similarity(F.col("cos")) > 0).select("id1", "id2").where("id1 <> id2")
-    alike = fuzzy_join(numbered, numbered.select(F.col("k").alias("k2"), F.col("norm").alias("norm2")), "norm", "norm2", ratio, 50)
-    edges = near.union(numbered.join(alike, numbered["norm"] == alike["left_key"]).select("k", "k2"))
-    blocks = connected_components(edges, "id1", "id2")
-    rows = numbered.join(vec, numbered["k"] == vec["id"]).join(blocks, numbered["k"] == blocks["node"], "left").select("mention_key", "norm", "ord", "vector", F.coalesce("component", "k").alias("block"))
+    # A score above least needs this similarity at any ratio, so no other pair matters.
+    bound = min(least, (least - weight) / (1 - weight))
+    same = F.when(F.exists("vector", lambda x: x != 0), F.xxhash64("vector")).otherwise(F.col("id"))
+    vec = materialize(vec.withColumn("v", same), "batch-vectors")  # equal vectors are compared once
+    blocks = connected_components(_alike(vec.groupBy("v").agg(F.first("vector").alias("vector")), (1 + bound) / 2 - 1e-6 if bound > 0 else -2.0))
+    rows = numbered.join(vec, numbered["k"] == vec["id"]).join(blocks, F.col("v") == F.col("node"), "left").select("mention_key", "norm", "ord", "vector", F.coalesce("component", "v").alias("block"))
 
     def replay(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["ord", "mention_key"], kind="stable")
@@ -105,8 +125,10 @@ def _within_batch(fresh: DataFrame, dim: int, least: float, ratio: float, weight
             v = np.asarray(v, np.float64)
             best, score = None, least
             for name, other, u in names:
-                fz = indel_ratio(" ".join(sorted(norm.split())), " ".join(sorted(other.split())))
                 sem = max(0.0, 2 * float(u @ v) - 1)
+                if max(sem, weight + (1 - weight) * sem) <= score:
+                    continue
+                fz = indel_ratio(" ".join(sorted(norm.split())), " ".join(sorted(other.split())))
                 total = weight * fz / 100 + (1 - weight) * sem if fz > ratio else sem
                 if total > score:
                     best, score = name, total

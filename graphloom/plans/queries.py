@@ -311,7 +311,7 @@ def spacy_label_map(spark, sf):
 
 @query()
 def token_sort_ratio_topk(spark, sf):
-    names = B.mentions(spark, sf).groupBy(F.lower("text").alias("name")).count().where("count >= 20").select("name")
+    names = B.mentions(spark, sf).select(F.lower("text").alias("name")).distinct()
     return fuzzy.fuzzy_join(names, names.withColumnRenamed("name", "alias"), "name", "alias").select("left_key", "alias", "ratio", "rank")
 
 
@@ -343,9 +343,8 @@ def alias_accumulate(spark, sf):
 @query()
 def entity_resolution(spark, sf):
     m = B.mentions(spark, sf).withColumn("ord", F.col("article_id"))
-    often = m.groupBy("text").count().where("count >= 10").select("text")
     state = B.entities(spark, sf).select(F.initcap("canonical_name").alias("canonical_name"), "aliases")
-    return entities.resolve(m.join(often, "text"), state)
+    return entities.resolve(m, state)
 
 
 # Taxonomies.

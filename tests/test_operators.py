@@ -297,3 +297,11 @@ def test_merge_entities(spark):
     got = {r.canonical_name: r for r in entities.merge_entities(state, mentions, resolved, "2024-01-01").collect()}
     assert (got["USA"].entity_type, got["USA"].aliases, got["USA"].mention_count, got["USA"].first_seen.year, got["USA"].last_seen.year) == ("Country", ["America", "the US"], 4, 2020, 2024)
     assert got["Modi"].mention_count == 1 and got["Modi"].aliases == [] and got["Modi"].entity_type == "Person"
+
+
+def test_rare_names_are_matched_and_resolved(spark, small):
+    from graphloom.plans import bindings, queries
+
+    texts = {r.text for r in bindings.mentions(spark, small).select("text").distinct().collect()}
+    assert {r.left_key for r in queries.token_sort_ratio_topk(spark, small).collect()} == {t.lower() for t in texts}
+    assert {r.mention_key for r in queries.entity_resolution(spark, small).collect()} == texts
