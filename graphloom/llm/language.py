@@ -49,13 +49,19 @@ def grams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def train(docs: DataFrame, fit_docs: int = 20_000) -> tuple[list[str], np.ndarray]:
     """Languages and log probabilities (bins x languages) from rows with a language outside the held-out fold.
 
-    About ``fit_docs`` rows are drawn by a hash of doc_id, so what is counted is bounded.
+    About ``fit_docs`` rows are drawn by a hash of doc_id, so what is counted is bounded. Languages get
+    even parts of them; one with fewer rows is taken whole.
     """
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).where("lang is not null and text is not null and doc_id is not null")
     rows = rows.where(~held_out(F.col("doc_id"), 3, 1))
-    n = max(1, docs.count())
-    share = min(1.0, fit_docs / n)
-    rows = rows.where(F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)) + (share >= 1))
+    have = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row for each language
+    left, shares = fit_docs, []
+    for k, (lang, n) in enumerate(sorted(have.items(), key=lambda x: (x[1], x[0]))):  # rare ones first: what they leave goes to the others
+        take = min(n, left // (len(have) - k))
+        left -= take
+        shares.append((lang, (1 << 20) * take // n))
+    asked = docs.sparkSession.createDataFrame(shares, "lang string, below long")
+    rows = rows.join(F.broadcast(asked), "lang").where(F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.lit(1 << 20)) < F.col("below"))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total: dict[str, np.ndarray] = {}

@@ -309,6 +309,12 @@ def test_op10(spark, small, docs, odd, none):
     assert {r.lang_pred for r in language.predict(odd, empty).select("lid.lang_pred").collect()} == {"und"} and language.predict(none, empty).count() == 0
 
 
+def test_rare_languages_among_many_unlabelled(spark):
+    rows = [(k, "the cat", None) for k in range(5000)] + [(5000 + k, "der Hund", "de") for k in range(300)] + [(6000 + k, "le chien", "fr") for k in range(12)]
+    langs, _ = language.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), fit_docs=50)
+    assert langs == ["de", "fr"]
+
+
 def test_stages_on_awkward_rows(spark, odd, none, small):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         for given in (odd, none):
