@@ -1,11 +1,12 @@
 """Near-duplicate texts by an LSH forest over MinHash signatures.
 
-Each tree of the forest is an order of documents by a few MinHash values; documents with a long
-common prefix are neighbours, a region of the order. Within a region, or a block of a crowded one,
-the most similar signatures form a spanning forest of candidate links, which are confirmed on full
-shingle sets. Where a region then still falls apart, the likeliest pairs between its parts are
-confirmed, and then all pairs across its parts that signatures and sizes allow, in pairs of blocks
-where it is crowded, so that no region leaves a link out.
+Each tree of the forest is a sorted order of the documents' signatures, each turned so that the
+tree's own values come first. Documents meet their neighbours in the orders, those of the longest
+common prefix, at whatever depth their region of an order has company; and the centre of the region.
+The likeliest candidate of each document, and then of each group found, is confirmed on full shingle
+sets. Regions that still hold several groups are settled by their documents' rarest shingles, of
+which two documents that link must share one; so no link within a region is lost, however crowded
+it is, and no region's pairs are written out.
 """
 
 from __future__ import annotations
@@ -19,8 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graphloom.functions.components import connected_components
-from graphloom.functions.idfilter import may_hold
-from graphloom.storage import materialize, release_shuffles
+from graphloom.llm.idfilter import may_hold
+from graphloom.storage import materialize
 
 M1, M2, M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 _words: dict[bytes, int] = {}
@@ -109,73 +110,107 @@ def _parts(b: pd.DataFrame, col: str, most: int = 4 << 20) -> Iterator[pd.DataFr
 
 
 def regions(classes: DataFrame, trees: int, depth: int, shallow: int) -> DataFrame:
-    """region, rep, n_region: the documents with a common prefix of ``shallow`` values in a tree, two at least, however many they are."""
+    """region, rep, n_region, n_shingles, key: the documents with a common prefix of ``shallow`` values in a tree, two at least, however many they are.
+
+    key: the signature, turned so that the tree's own values come first; regions are stretches of its order.
+    """
     width = 2 * depth
     prefix = F.xxhash64("tree", F.expr(f"substring(sig, 1 + tree * {width}, {2 * shallow})"))
     # Signatures wait until it is known who has neighbours.
-    members = classes.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).select("rep", prefix.alias("region"))
+    members = classes.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).select("rep", "tree", prefix.alias("region"))
     sizes = materialize(members.groupBy("region").agg(F.count("*").alias("n_region")).where("n_region > 1"), "region-sizes")
-    return members.join(sizes, "region").select("region", "rep", "n_region")
+    key = F.concat(F.expr(f"substring(sig, 1 + tree * {width})"), F.expr(f"substring(sig, 1, tree * {width})"))
+    return members.join(sizes, "region").join(classes.select("rep", "n_shingles", "sig"), "rep").select("region", "rep", "n_region", "n_shingles", key.alias("key"))
+
+
+def _values(keys) -> np.ndarray:
+    return np.frombuffer(b"".join(keys), "<u2").reshape(len(keys), -1)
 
 
-def dealt(found: DataFrame, crowd: int) -> DataFrame:
-    """region, rep: small regions whole, each of over ``crowd`` members in blocks that also hold its smallest member."""
-    blocks = F.ceil(F.col("n_region") / (crowd // 2)).cast("long")
-    crowded = found.where(F.col("n_region") > crowd).withColumn("block", F.pmod(F.xxhash64("rep", "region"), blocks))
-    heads = crowded.groupBy("region").agg(F.min("rep").alias("rep"), F.first("n_region").alias("n_region"))
-    heads = heads.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-    named = lambda df: df.select(F.xxhash64("region", "block").alias("region"), "rep")
-    return found.where(F.col("n_region") <= crowd).select("region", "rep").union(named(crowded).union(named(heads)).distinct())
+def _fits(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sizes of two sets allow a link."""
+    return 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
 
 
-def block_pairs(found: DataFrame, block_rows: int) -> DataFrame:
-    """The rows of region, rep, n_region, ... once for each pair of blocks to be compared.
+def ordered_neighbours(members: DataFrame, least: float, percent: int) -> DataFrame:
+    """Candidates a, b, est of each tree's sorted order, a few for each document, and centres.
 
-    region then names the pair of blocks; ``side`` is 0 or 1 for its first and second block, and 2 where a block meets itself.
+    A document meets those next to it in the order, with which it has the longest common prefix
+    however deep its region is, and the centre of its stretch of the region: the one closest to the
+    stretch's middle values, which in a group of edits is the original or near it. Rows with a = b
+    are centres of stretches that are not whole regions, with their score as est.
     """
-    blocks = F.ceil(F.col("n_region") / block_rows).cast("long")
-    at = found.withColumn("block", F.pmod(F.xxhash64("rep", "region"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-    side = F.when(F.col("block") == F.col("other"), 2).when(F.col("block") < F.col("other"), 0).otherwise(1)
-    return at.withColumn("side", side).withColumn("region", F.xxhash64("region", F.least("block", "other"), F.greatest("block", "other"))).drop("block", "other", "n_region")
-
-
-def _alike(sig: np.ndarray, n: np.ndarray, percent: int) -> np.ndarray:
-    """Share of equal MinHash values for all pairs; below 0 where the sizes of the sets rule a link out."""
-    s = np.stack([(sig == x).mean(1) for x in sig])
-    return np.where(100 * np.minimum(n[:, None], n) >= percent * np.maximum(n[:, None], n), s, -1)
-
-
-def _spanning(s: np.ndarray, least: float, apart: np.ndarray, part: np.ndarray) -> list[tuple[int, int]]:
-    """Places of a forest over the parts, of the most similar pairs that are apart."""
-    i, j = np.nonzero(np.triu(apart & (s >= least), 1))
-    root, out = {p: p for p in part.tolist()}, []
-
-    def top(x):
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    own = part.tolist()
-    for k in np.lexsort((j, j - i, -s[i, j])):  # near in the order first: chains, not stars
-        a, b = top(own[i[k]]), top(own[j[k]])
-        if a != b:
-            root[max(a, b)] = min(a, b)
-            out.append((i[k], j[k]))
-    return out
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest = None
+        for b in batches:
+            b = b if rest is None else pd.concat([rest, b], ignore_index=True)
+            rest = b.iloc[-1:]  # neighbours across batches
+            region, rep, n, whole = (b[c].to_numpy() for c in ("region", "rep", "n_shingles", "n_region"))
+            sig = _values(b["key"])
+            same = np.flatnonzero(region[1:] == region[:-1])
+            found = [(same, same + 1, (sig[same] == sig[same + 1]).mean(1))]
+            begin = np.flatnonzero(np.concatenate([[True], region[1:] != region[:-1]]))
+            heads, score = [], []
+            for a, z in zip(begin.tolist(), [*begin[1:].tolist(), len(b)], strict=True):
+                if z - a > 2:
+                    own = sig[a:z]
+                    near = (own == np.sort(own, axis=0)[(z - a) // 2]).sum(1)
+                    c = int(near.argmax())
+                    found.append((np.arange(a, z), np.full(z - a, a + c), (own == own[c]).mean(1)))
+                    if z - a < whole[a]:
+                        heads.append(a + c)
+                        score.append(float(near[c]))
+            i, j, est = (np.concatenate(x) for x in zip(*found, strict=True))
+            good = (rep[i] != rep[j]) & (est >= least) & _fits(n[i], n[j], percent)
+            i, j, est = i[good], j[good], est[good]
+            pairs = pd.DataFrame({"region": region[i], "a": np.minimum(rep[i], rep[j]), "b": np.maximum(rep[i], rep[j]), "est": est})
+            yield pd.concat([pairs, pd.DataFrame({"region": region[heads], "a": rep[heads], "b": rep[heads], "est": score})]) if heads else pairs
+
+    n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = members.repartitionByRange(n, "region", "key", "rep").sortWithinPartitions("region", "key", "rep")
+    return order.mapInPandas(run, "region long, a long, b long, est double")
+
+
+def centre_pairs(members: DataFrame, heads: DataFrame, least: float, percent: int) -> DataFrame:
+    """a, b, est of every member of the regions of ``heads`` (region, head) with the head."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            est = (_values(b["key"]) == _values(b["head_key"])).mean(1) if len(b) else np.zeros(0)
+            good = (est >= least) & _fits(b["n_shingles"].to_numpy(), b["n_head"].to_numpy(), percent)
+            two = b.loc[good, ["rep", "head"]].to_numpy().reshape(-1, 2)
+            yield pd.DataFrame({"a": two.min(1), "b": two.max(1), "est": est[good]})
+
+    top = members.join(heads, "region").where("rep = head").select("region", "head", F.col("key").alias("head_key"), F.col("n_shingles").alias("n_head")).dropDuplicates(["region"])
+    both = members.join(materialize(top, "centres"), "region").where("rep <> head").select("rep", "head", "n_shingles", "n_head", "key", "head_key")
+    return both.mapInPandas(run, "a long, b long, est double")
 
 
-def candidate_pairs(found: DataFrame, least: float, percent: int, every: bool = False) -> DataFrame:
-    """Distinct pairs a < b of a table region, rep, sig, n_shingles, part, side, between rows of other parts and not of one side 0 or 1.
+def candidates(members: DataFrame, least: float, percent: int) -> DataFrame:
+    """own, other, est, both ways: candidates of all orders, whose number grows with that of documents."""
+    near = materialize(ordered_neighbours(members, least, percent), "neighbours")
+    pairs = near.where("a <> b").select("a", "b", "est")
+    # Regions of several stretches get one centre more, the best of theirs.
+    heads = near.where("a = b").groupBy("region").agg(F.max(F.struct("est", (-F.col("a")).alias("low"))).alias("top"), F.count("*").alias("n")).where("n > 1")
+    heads = materialize(heads.select("region", (-F.col("top.low")).alias("head")), "heads")
+    if heads.limit(1).count():
+        pairs = pairs.union(centre_pairs(members, heads, least, percent))
+    pairs = materialize(pairs.distinct(), "candidates")
+    return pairs.selectExpr("a as own", "b as other", "est").union(pairs.selectExpr("b", "a", "est"))
 
-    every: all that their signatures and sizes allow, else a spanning forest over the parts of each region.
+
+def unsettled(members: DataFrame, parts: DataFrame, picks: list[DataFrame], least: float, percent: int, block_rows: int) -> DataFrame:
+    """rep of documents that some region shows with one of another part, untried, that signatures and sizes allow.
+
+    In regions of over ``block_rows`` members all are taken to be so unless they are one part.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None
         for b in _with_end(batches):
             last = b is None
-            b = rest if last else b if rest is None else pd.concat([rest, b])
+            b = rest if last else b if rest is None else pd.concat([rest, b], ignore_index=True)
             if b is None or not len(b):
                 continue
             region = b["region"].to_numpy()
@@ -183,19 +218,31 @@ def candidate_pairs(found: DataFrame, least: float, percent: int, every: bool =
             if not last:
                 rest, begin = b.iloc[begin[-1] :], begin[:-1]
             ends = [*begin[1:], len(b) if last else len(b) - len(rest)]
-            rep, sig, n, part, side = (b[c].to_numpy() for c in ("rep", "sig", "n_shingles", "part", "side"))
+            rep, n, part = (b[c].to_numpy() for c in ("rep", "n_shingles", "part"))
+            sig, tried = _values(b["key"]), [b[c].to_numpy() for c in names]
             for a, z in zip(begin, ends, strict=False):
-                own, to = part[a:z], side[a:z]
-                apart = (own[:, None] != own) & ((to[:, None] != to) | (to == 2))
-                if apart.any():
-                    s = _alike(np.stack([np.frombuffer(x, "<u2") for x in sig[a:z]]), n[a:z], percent)
-                    at = np.argwhere(np.triu(apart & (s >= least), 1)) if every else np.array(_spanning(s, least, apart, own), np.int64).reshape(-1, 2)
-                    p = rep[a:z][at]
-                    yield pd.DataFrame({"a": p.min(1, initial=1 << 62), "b": p.max(1, initial=-(1 << 62))})
-
-    n = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cols = found.select("region", "rep", "sig", "n_shingles", "part", "side")
-    return cols.repartition(n, "region").sortWithinPartitions("region", "rep").mapInPandas(run, "a long, b long").where("a <> b").distinct()
+                s, own = sig[a:z], rep[a:z]
+                open_ = (part[a:z, None] != part[a:z]) & _fits(n[a:z, None], n[a:z], percent)
+                i, j = np.nonzero(np.triu(open_))
+                far = (s[i] == s[j]).mean(1) < least if len(i) <= 1 << 16 else np.concatenate([(s[i[k : k + (1 << 16)]] == s[j[k : k + (1 << 16)]]).mean(1) < least for k in range(0, len(i), 1 << 16)])
+                open_[i[far], j[far]] = open_[j[far], i[far]] = False
+                for picked in tried:
+                    k = np.minimum(np.searchsorted(own, picked[a:z]), z - a - 1)
+                    hit = np.flatnonzero(own[k] == picked[a:z])
+                    open_[hit, k[hit]] = open_[k[hit], hit] = False
+                yield pd.DataFrame({"rep": own[open_.any(1)]})
+
+    names = [f"pick{k}" for k in range(len(picks))]
+    named = members.join(parts, F.col("rep") == F.col("node"), "left").withColumn("part", F.coalesce("component", "rep")).drop("node", "component")
+    split = materialize(named.groupBy("region").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("region"), "split")
+    named = named.join(split, "region")
+    crowded = named.where(F.col("n_region") > block_rows).select("rep")
+    rows = named.where(F.col("n_region") <= block_rows)
+    for name, picked in zip(names, picks, strict=True):
+        rows = rows.join(picked.select(F.col("own").alias("rep"), F.col("other").alias(name)), "rep", "left").withColumn(name, F.coalesce(name, "rep"))
+    n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.select("region", "rep", "n_shingles", "part", "key", *names).repartition(n, "region").sortWithinPartitions("region", "rep")
+    return crowded.union(rows.mapInPandas(run, "rep long")).distinct()
 
 
 def _with_end(batches):
@@ -203,10 +250,61 @@ def _with_end(batches):
     yield None
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+def rare_shingle_pairs(docs: DataFrame, reps: DataFrame, parts: DataFrame, shingle: int, percent: int, cells: int = 1 << 20) -> DataFrame:
+    """Pairs a < b of other parts that may be linked, every linked pair of ``reps`` among them.
+
+    Sets are put in one order for all, rare shingles first. Two sets that link share a shingle
+    among the first ones of both, so far as their sizes ask for, and what is left after the shared
+    one must suffice. How rare a shingle is, is told by counts in ``cells`` cells, the size of what
+    is broadcast; a coarse count makes more candidates and loses none.
+    """
+    asked = may_hold(reps, "rep")
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(asked(F.col("doc_id")))
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(cells, np.int64)
+        for b in batches:
+            for t in b["text"]:
+                np.add.at(total, (shingle_set(t, shingle) & np.uint64(cells - 1)).astype(np.int64), 1)
+        used = np.flatnonzero(total)
+        yield pd.DataFrame({"cell": used, "n": total[used]})
+
+    counted = own.select("text").mapInPandas(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()  # cells rows at most
+    table = np.zeros(cells, np.int64)
+    table[counted["cell"].to_numpy(np.int64)] = counted["n"].to_numpy(np.int64)
+    sent = docs.sparkSession.sparkContext.broadcast(table)
+
+    def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for d, t in zip(b["doc_id"], b["text"], strict=True):
+                s = shingle_set(t, shingle)
+                n = len(s)
+                if n:
+                    times = sent.value[(s & np.uint64(cells - 1)).astype(np.int64)]
+                    k = np.lexsort((s, times))[: n + percent * n // -100 + 1]
+                    place = np.flatnonzero(times[k] > 1)  # one that occurs once is shared with none
+                    rows.append((d, n, s[k[place]].view(np.int64), place.astype(np.int32)))
+            yield pd.DataFrame(rows, columns=["rep", "n", "shingles", "places"])
+
+    firsts = own.where("doc_id is not null").mapInPandas(first, "rep long, n long, shingles array<long>, places array<int>")
+    firsts = materialize(firsts.join(parts, F.col("rep") == F.col("node"), "left").select("rep", "n", F.coalesce("component", "rep").alias("part"), "shingles", "places"), "first-shingles")
+    lists = firsts.withColumn("x", F.explode(F.arrays_zip("shingles", "places"))).select(F.col("x.shingles").alias("shingle"), F.col("x.places").alias("at"), "rep", "n", "part")
+    indexed = F.expr(f"at <= n + floor(-{2 * percent} * n / {100 + percent})")
+    live = lists.groupBy("shingle").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.max(indexed).alias("any")).where("low <> high and any").select("shingle")
+    lists = materialize(lists.join(live, "shingle", "left_semi"), "shared-shingles")
+    x, y = lists.alias("x"), lists.where(indexed).alias("y")
+    meet = x.join(y, F.expr(
+        f"""x.shingle = y.shingle and x.part <> y.part and (y.n < x.n or y.n = x.n and y.rep < x.rep) and 100 * y.n >= {percent} * x.n
+        and {100 + percent} * least(x.n - x.at, y.n - y.at) >= {percent} * (x.n + y.n)"""
+    ))
+    return meet.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).where("a <> b").distinct()
+
+
+def confirm(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int, repeats: bool = False) -> DataFrame:
     """The pairs whose full shingle sets have 100 * intersection >= percent * union.
 
-    Where rows share a doc_id, one of their texts suffices.
+    Where rows share a doc_id (repeats), one of their texts suffices, and equal ones go once.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -223,49 +321,64 @@ def confirm(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> Da
 
     asked = may_hold(pairs.select(F.explode(F.array("a", "b")).alias("id")), "id")  # else every text would move
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(asked(F.col("doc_id")))
+    if repeats:
+        texts = texts.groupBy("doc_id", F.xxhash64("text"), F.xxhash64(F.lit(1), "text")).agg(F.first("text").alias("text")).select("doc_id", "text")
     one = pairs.join(texts, F.col("b") == F.col("doc_id")).select("a", "b", F.col("text").alias("text_b"))
     two = one.join(texts, F.col("a") == F.col("doc_id")).select("a", "b", F.col("text").alias("text_a"), "text_b")
     return materialize(two.mapInPandas(run, "a long, b long").distinct(), "links")
 
 
 def near_texts(
-    docs: DataFrame, shingle: int = 5, percent: int = 80, trees: int = 12, depth: int = 6, shallow: int = 3, crowd: int = 64, least: float = 0.6, seed: int = 29,
-    block_rows: int = 256,
+    docs: DataFrame, shingle: int = 5, percent: int = 80, trees: int = 12, depth: int = 6, shallow: int = 3, least: float = 0.6, seed: int = 29, block_rows: int = 256,
 ) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row.
 
-    percent: least Jaccard similarity of shingle sets, in hundredths. least: share of equal MinHash
-    values below which a pair is not confirmed; at 72 values it is over four deviations under 0.8.
-    crowd, block_rows: how regions are dealt out to tasks; they leave no pair out.
+    percent: least Jaccard similarity of shingle sets, in hundredths. shallow: two documents at 0.8
+    share no region of ``trees`` with a chance of 0.0002. least: share of equal MinHash values below
+    which a pair is not confirmed; at 72 values it is over four deviations under 0.8. block_rows:
+    larger regions are not compared in pairs, but by their rare shingles; that leaves no pair out.
     Documents without words link with nothing. Rows that share a doc_id are one node. A row without
     doc_id is never the one kept, and gets the component of its class.
     """
     known = materialize(sketch(docs, shingle, trees, depth, seed), "sketches")
+    repeats = known.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count() > 0
     classes = known.where("k1 is not null").groupBy("k1", "k2").agg(
         F.min("doc_id").alias("rep"), F.count("*").alias("n"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig")
     )
     classes = materialize(classes.where("rep is not null"), "text-classes")
-    found = materialize(regions(classes.select("rep", "sig"), trees, depth, shallow), "regions")
-    signed = classes.select("rep", "sig", "n_shingles")
-
-    first = dealt(found, crowd).join(signed, "rep").withColumn("part", F.col("rep")).withColumn("side", F.lit(2))
-    tried = materialize(candidate_pairs(first, least, percent), "pairs")
-    links = confirm(tried, docs, shingle, percent)
-    release_shuffles(docs.sparkSession)  # those that moved texts
+    members = materialize(regions(classes, trees, depth, shallow), "regions")
+    near = candidates(members, least, percent)
+
+    # Each document with its likeliest candidate, then each part with its likeliest one of another part.
+    best = F.max(F.struct("est", (-F.col("other")).alias("other"), (-F.col("own")).alias("own"))).alias("best")
+    chosen = lambda df, by: df.groupBy(by).agg(best).select((-F.col("best.own")).alias("own"), (-F.col("best.other")).alias("other"))
+    pairs = lambda df: df.select(F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b")).distinct()
+    picks = [materialize(chosen(near, "own"), "picks")]
+    links = confirm(pairs(picks[0]), docs, shingle, percent, repeats)
     parts = materialize(connected_components(links, "a", "b"), "parts")
-    for every in (False, True):  # the likeliest pair between parts first, then whatever is left between them
-        named = found.join(parts, F.col("rep") == F.col("node"), "left").select("region", "rep", "n_region", F.coalesce("component", "rep").alias("part"))
-        split = materialize(named.groupBy("region").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("region"), "split")
-        rows = block_pairs(named.join(split, "region"), block_rows).join(signed, "rep")
-        more = materialize(candidate_pairs(rows, least, percent, every).join(tried, ["a", "b"], "left_anti"), "more-pairs")
-        also = confirm(more, docs, shingle, percent)
-        release_shuffles(docs.sparkSession)
-        tried = tried.union(more)
-        if also.limit(1).count():
-            parts = materialize(connected_components(parts.select("node", "component").union(also), "node", "component"), "parts")
+    left = near.join(picks[0].union(picks[0].select("other", "own")).distinct(), ["own", "other"], "left_anti")
+    for side in ("own", "other"):
+        left = left.join(parts.select(F.col("node").alias(side), F.col("component").alias(f"part_{side}")), side, "left").withColumn(f"part_{side}", F.coalesce(f"part_{side}", side))
+    picks.append(materialize(chosen(left.where("part_own <> part_other"), "part_own"), "picks"))
+    more = confirm(pairs(picks[1]), docs, shingle, percent, repeats)
+    parts = _joined(parts, more)
+
+    # What regions still leave open is decided by rare shingles.
+    still = materialize(unsettled(members, parts, picks, least, percent, block_rows), "unsettled")
+    if still.limit(1).count():
+        tried = pairs(picks[0].union(picks[1]))
+        rest = materialize(rare_shingle_pairs(docs, still, parts, shingle, percent).join(tried, ["a", "b"], "left_anti"), "rest")
+        parts = _joined(parts, confirm(rest, docs, shingle, percent, repeats))
 
     told = classes.join(parts, F.col("rep") == F.col("node"), "left").where("n > 1 or component is not null")
     told = materialize(told.select("k1", "k2", F.coalesce("component", "rep").alias("component")), "text-parts")
     out = known.select("doc_id", "n_shingles", "k1", "k2").join(told, ["k1", "k2"], "left")
     component = F.coalesce("component", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(False)).alias("kept"))
+
+
+def _joined(parts: DataFrame, links: DataFrame) -> DataFrame:
+    """Parts after further links a, b."""
+    if not links.limit(1).count():
+        return parts
+    return materialize(connected_components(parts.select("node", "component").union(links), "node", "component"), "parts")

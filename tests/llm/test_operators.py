@@ -213,7 +213,7 @@ def test_crowded_near_copies(spark):
             words[at] = f"x{rng.integers(99)}"
         texts[k] = " ".join(words)
     texts |= {1000 + k: " ".join(f"v{j}" for j in rng.integers(0, 9999, 60)) for k in range(50)}
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_texts(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), shingle=4, crowd=16).collect()}
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_texts(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), shingle=4, block_rows=16).collect()}
     assert got == reference.near_texts(texts, 4)
 
 
@@ -222,7 +222,7 @@ def test_edits_of_an_original_in_the_middle(spark):
     base = [f"w{k}" for k in range(300)]
     texts = {k: " ".join(f"x{k}_{i}" if i in {(k * 7 + j * 60) % 300 for j in range(5)} else w for i, w in enumerate(base)) for k in range(240)}
     texts[120] = " ".join(base)
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_texts(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), shingle=5, crowd=16).collect()}
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_texts(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), shingle=5, block_rows=16).collect()}
     assert got == reference.near_texts(texts, 5)
 
 
@@ -237,9 +237,42 @@ def test_links_of_a_crowded_region_below_its_prefix(spark):
     for t in range(1, 12):
         sig[150, 6 * t] += 1
     made = rows([(k, s.tobytes(), 100) for k, s in enumerate(sig)])
-    found = minhash.regions(made.select("rep", "sig"), 12, 6, 3)
-    pairs = minhash.candidate_pairs(minhash.block_pairs(found.withColumn("part", F.col("rep")), 32).join(made, "rep"), 0.6, 80, True)
-    assert [tuple(r) for r in pairs.collect()] == [(20, 150)]
+    found = minhash.regions(made, 12, 6, 3)
+    alone = spark.createDataFrame([], "node long, component long")
+    left = lambda rows: sorted(r.rep for r in minhash.unsettled(found, alone, [], 0.6, 80, rows).collect())
+    assert left(256) == [20, 150] and left(32) == list(range(200))
+
+
+def from_template(n, others, planted, words=900, seed=1):
+    """Texts of a template and words of their own, any two of Jaccard ``others``; each tenth shares more with the one before it."""
+    share = lambda j: 2 * j / (1 + j)
+    common, more = int(share(others) * words), int(share(planted) * words)
+    texts, last = {}, None
+    for k in range(n):
+        own = [f"u{k}x{i}" for i in range(words - common)]
+        if k % 10 == 1:
+            own = last[: more - common] + own[more - common :]
+        texts[k], last = " ".join([*(f"t{i}" for i in range(common)), *own]), own
+    return texts
+
+
+@pytest.mark.parametrize(("n", "others", "planted", "block_rows"), [(400, 0.77, 0.815, 256), (400, 0.77, 0.815, 32), (1500, 0.72, 0.83, 256), (300, 0.70, 0.85, 16)])
+def test_links_among_texts_of_a_template(spark, n, others, planted, block_rows):
+    """One crowded region of texts that are nearly alike; only planted pairs link."""
+    texts = from_template(n, others, planted)
+    sets = {k: reference.shingles(texts[k], 4) for k in (10, 11, 12)}
+    alike = lambda a, b: len(sets[a] & sets[b]) / len(sets[a] | sets[b])
+    assert alike(10, 11) >= 0.8 > alike(10, 12)
+    rows = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.component_id for r in minhash.near_texts(rows, shingle=4, block_rows=block_rows).collect()}
+    assert got == {k: k - 1 if k % 10 == 1 else k for k in texts}
+
+
+def test_rows_that_repeat_a_doc_id(spark):
+    words = " ".join(f"w{k}" for k in range(60))
+    rows = [(1, words)] * 300 + [(1, "another text of this id")] + [(2, words + " end")] * 300 + [(3, "far from all of them")]
+    got = minhash.near_texts(spark.createDataFrame(rows, "doc_id long, text string"), shingle=4).groupBy("doc_id", "component_id").count().collect()
+    assert sorted(tuple(r) for r in got) == [(1, 1, 301), (2, 1, 300), (3, 3, 1)]
 
 
 def test_op8(spark, small, docs, odd, none):
