@@ -9,23 +9,20 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.storage import materialize
 
-
-def may_hold(ids: DataFrame, column: str, most_bits: int = 1 << 28) -> Callable[[Column], Column]:
+def may_hold(ids: DataFrame, column: str, about: int, most_bits: int = 1 << 28) -> Callable[[Column], Column]:
     """A test of id columns: true for every id of the table, and for few others.
 
-    The bitmap has some 16 bits for each id and ``most_bits`` at most (32 MB), so it may be
+    ``about``: how many ids there are. The bitmap has some 16 bits for each and ``most_bits`` at most (32 MB), so it may be
     broadcast; beyond that it lets more through, and the join that follows decides. A null id is not held.
     """
-    ids = ids.select(F.col(column).cast("long").alias("id")).where("id is not null").distinct()
-    ids = materialize(ids, "asked")
-    bits = min(most_bits, 1 << max(16, (16 * ids.count()).bit_length()))
+    ids = ids.select(F.col(column).cast("long").alias("id")).where("id is not null")
+    bits = min(most_bits, 1 << max(16, (16 * about).bit_length()))
     place = F.pmod(F.xxhash64("id"), F.lit(bits))
     cells = ids.select(place.alias("place")).select((F.col("place") / 64).cast("long").alias("word"), F.expr("shiftleft(1L, cast(place % 64 as int))").alias("bit"))
-    words = cells.groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()  # bits / 64 rows at most
+    words = cells.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()  # bits / 64 rows at most
     table = np.zeros(bits // 64, np.uint64)
-    table[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).view(np.uint64)
+    table[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
     sent = ids.sparkSession.sparkContext.broadcast(table)
 
     def has(at: pd.Series) -> pd.Series:

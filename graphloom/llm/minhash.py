@@ -250,7 +250,7 @@ def _with_end(batches):
     yield None
 
 
-def rare_shingle_pairs(docs: DataFrame, reps: DataFrame, parts: DataFrame, shingle: int, percent: int, cells: int = 1 << 20) -> DataFrame:
+def rare_shingle_pairs(docs: DataFrame, reps: DataFrame, parts: DataFrame, shingle: int, percent: int, cells: int = 1 << 18) -> DataFrame:
     """Pairs a < b of other parts that may be linked, every linked pair of ``reps`` among them.
 
     Sets are put in one order for all, rare shingles first. Two sets that link share a shingle
@@ -258,7 +258,7 @@ def rare_shingle_pairs(docs: DataFrame, reps: DataFrame, parts: DataFrame, shing
     one must suffice. How rare a shingle is, is told by counts in ``cells`` cells, the size of what
     is broadcast; a coarse count makes more candidates and loses none.
     """
-    asked = may_hold(reps, "rep")
+    asked = may_hold(reps, "rep", reps.count())
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(asked(F.col("doc_id")))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -269,9 +269,9 @@ def rare_shingle_pairs(docs: DataFrame, reps: DataFrame, parts: DataFrame, shing
         used = np.flatnonzero(total)
         yield pd.DataFrame({"cell": used, "n": total[used]})
 
-    counted = own.select("text").mapInPandas(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()  # cells rows at most
+    counted = own.select("text").mapInPandas(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # cells rows at most
     table = np.zeros(cells, np.int64)
-    table[counted["cell"].to_numpy(np.int64)] = counted["n"].to_numpy(np.int64)
+    table[counted["cell"].to_numpy()] = counted["n"].to_numpy()
     sent = docs.sparkSession.sparkContext.broadcast(table)
 
     def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -302,7 +302,7 @@ def rare_shingle_pairs(docs: DataFrame, reps: DataFrame, parts: DataFrame, shing
 
 
 def confirm(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int, repeats: bool = False) -> DataFrame:
-    """The pairs whose full shingle sets have 100 * intersection >= percent * union.
+    """The pairs, a written table, whose full shingle sets have 100 * intersection >= percent * union.
 
     Where rows share a doc_id (repeats), one of their texts suffices, and equal ones go once.
     """
@@ -319,7 +319,7 @@ def confirm(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int, repea
                 keep.append(len(own) > 0 and 100 * shared >= percent * (len(own) + len(two) - shared))
             yield b.loc[keep, ["a", "b"]]
 
-    asked = may_hold(pairs.select(F.explode(F.array("a", "b")).alias("id")), "id")  # else every text would move
+    asked = may_hold(pairs.select(F.explode(F.array("a", "b")).alias("id")), "id", 2 * pairs.count())  # else every text would move
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(asked(F.col("doc_id")))
     if repeats:
         texts = texts.groupBy("doc_id", F.xxhash64("text"), F.xxhash64(F.lit(1), "text")).agg(F.first("text").alias("text")).select("doc_id", "text")
@@ -352,7 +352,7 @@ def near_texts(
     # Each document with its likeliest candidate, then each part with its likeliest one of another part.
     best = F.max(F.struct("est", (-F.col("other")).alias("other"), (-F.col("own")).alias("own"))).alias("best")
     chosen = lambda df, by: df.groupBy(by).agg(best).select((-F.col("best.own")).alias("own"), (-F.col("best.other")).alias("other"))
-    pairs = lambda df: df.select(F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b")).distinct()
+    pairs = lambda df: materialize(df.select(F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b")).distinct(), "pairs")
     picks = [materialize(chosen(near, "own"), "picks")]
     links = confirm(pairs(picks[0]), docs, shingle, percent, repeats)
     parts = materialize(connected_components(links, "a", "b"), "parts")
