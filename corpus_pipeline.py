@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from graphloom.functions.idfilter import may_hold
 from graphloom.llm import minhash, mixing, packing, pii, quality
+from graphloom.llm.idfilter import may_hold
 from graphloom.llm.queries import tokenizer_path
-from graphloom.storage import materialize, release_shuffles
+from graphloom.storage import materialize
 
 
 def filter_quality(spark: SparkSession, docs: DataFrame, sf_dir: str, least: float = 0.3) -> DataFrame:
@@ -25,14 +25,15 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     found = materialize(minhash.near_texts(docs, shingle=5, percent=80).select("doc_id", "kept").where("doc_id is not null"), "near-texts")
     dropped = found.where("not kept").select(F.col("doc_id").alias("dropped_id")).distinct()
     dropped = materialize(dropped, "dropped")
-    asked = may_hold(dropped, "dropped_id")(F.col("doc_id"))
-    marked = docs.withColumn("dedup_asked", F.coalesce(asked, F.lit(True)))
-    doubted = marked.where("dedup_asked").drop("dedup_asked").join(dropped, F.col("doc_id") == F.col("dropped_id"), "left_anti")
-    kept = marked.where("not dedup_asked").drop("dedup_asked").union(doubted)  # what is surely kept needn't move
+    asked = may_hold(dropped, "dropped_id", dropped.count())
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))  # columns of docs can't clash with those used here
+    marked = whole.select("row", F.col("row.doc_id").cast("long").alias("own_id")).withColumn("asked", asked(F.col("own_id")))
+    doubted = marked.where("asked").join(dropped, F.col("own_id") == F.col("dropped_id"), "left_anti")
+    kept = marked.where("not asked").select("row", "own_id").union(doubted.select("row", "own_id"))  # what is surely kept needn't move
     if found.groupBy("doc_id").count().where("count > 1").limit(1).count():
-        order = Window.partitionBy("doc_id").orderBy(*[c for c, kind in docs.dtypes if not kind.startswith("map")])
-        kept = kept.withColumn("copy_rank", F.row_number().over(order)).where("copy_rank = 1 or doc_id is null").select(*docs.columns)
-    return kept
+        order = Window.partitionBy("own_id").orderBy(*[F.col(f"row.`{c}`") for c, kind in docs.dtypes if not kind.startswith("map")])
+        kept = kept.withColumn("copy", F.row_number().over(order)).where("copy = 1 or own_id is null")
+    return kept.select("row.*")
 
 
 def mask_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -74,5 +75,4 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
             docs = materialize(docs, f"stage-{name}")
-            release_shuffles(spark)
     return docs

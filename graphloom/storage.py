@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import atexit
-import gc
+import re
 import shutil
 import tempfile
 import uuid
@@ -20,7 +20,7 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     at = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not at:
-        if not sc.master.startswith("local["):
+        if not re.match(r"local($|\[)", sc.master):
             raise ValueError("spark.checkpoint.dir must name a folder shared by driver and executors")
         at = "file://" + tempfile.mkdtemp(prefix="graphloom-")
         atexit.register(shutil.rmtree, at.removeprefix("file://"), ignore_errors=True)
@@ -41,13 +41,3 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def release_shuffles(spark: SparkSession) -> None:
-    """Let go of the shuffle files of finished jobs.
-
-    The driver notices that a shuffle is no longer needed when it collects its garbage, which on a
-    large heap may come long after the disks of the executors are full.
-    """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
