@@ -151,11 +151,33 @@ def test_quality_separates_and_handles_odd_texts():
     word = lambda: "".join(rng.choice(list("abcdefgh"), 5))
     good = [" ".join(word() for _ in range(30)).capitalize() + ".\n" + word() for _ in range(60)]
     bad = [" ".join(word().upper() + "!!" for _ in range(30)) for _ in range(60)]
-    x, _, lines = quality.line_features(good + bad)
-    field = quality.fit(x, lines, np.array([1] * 60 + [0] * 60), rounds=60)
+    field = quality.fit(good + bad, np.array([1] * 60 + [0] * 60))
     s = quality.scores(field, [*good, *bad, None, "", "\n\n", "x" * 100_000])
     assert s[:60].min() > 0.5 > s[60:120].max() and ((s >= 0) & (s <= 1)).all()
-    assert quality.fit(x[:0], lines[:0], np.zeros(0, int)).constant == 0.5
+    assert quality.fit([], np.zeros(0, int)).constant == 0.5
+
+
+def test_quality_slope_is_that_of_the_likelihood():
+    rng = np.random.default_rng(5)
+    texts, good = ["Ab c.\n\nX!! X!!\nmore", "one line", "a\nb\nc"], np.array([1, 0, 1])
+    total, square, n, _ = quality.summed(texts)
+    w = rng.normal(size=len(total) + 4) / 10
+    made = lambda w: quality.Field(total / n, np.ones(len(total)), w[:-4], w[-4:].reshape(2, 2))
+    value, g = quality.slope(made(w), texts, good)
+    apart = [quality.slope(made(w), [t], good[k : k + 1]) for k, t in enumerate(texts)]
+    assert np.isclose(value, sum(v for v, _ in apart)) and np.allclose(g, sum(h for _, h in apart))
+    for k in (0, 1, 5, 30, 60, -4, -3, -2, -1):
+        step = np.zeros_like(w)
+        step[k] = 1e-5
+        assert np.isclose((quality.slope(made(w + step), texts, good)[0] - quality.slope(made(w - step), texts, good)[0]) / 2e-5, g[k], atol=1e-5)
+
+
+def test_line_features_do_not_depend_on_stretches():
+    made = quality.Lines(["Ab c.\n\nX!! X!!\nX!! X!!\n" * 40, "one", "é\n" * 30, "", None])
+    whole = next(made.features())[2]
+    made.stretches = lambda: type(made).stretches(made, 300)
+    parts = list(made.features())
+    assert len(parts) > 5 and (np.concatenate([x for _, _, x in parts]) == whole).all()
 
 
 def test_grams_of_a_text_do_not_depend_on_its_batch():
