@@ -29,7 +29,8 @@ CONTEXT = {
     "email": ("mail", "contact", "write"), "ip": ("ip", "address", "host", "server"), "card": ("card", "visa", "credit", "pay"),
     "phone": ("phone", "call", "tel", "mobile", "fax"), "iban": ("iban", "account", "bank"),
 }
-STEP = 128
+#: Running values are made in stretches of STEP, texts are read in stretches of CHUNK characters.
+STEP, CHUNK = 64, 256
 
 
 def _let(value: Column, use) -> Column:
@@ -75,24 +76,26 @@ def _valid(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
-def _starts(gaps: Column, hits: Column) -> Column:
-    """Where each hit begins, from the text between hits, by sums of stretches of STEP hits."""
-    steps = F.zip_with(F.slice(gaps, 1, F.size(hits)), hits, lambda g, h: F.length(g) + F.length(h))
+def _running(values: Column, add, levels: int = 2) -> Column:
+    """Before each of some numbers, what ``add`` makes of those ahead of it, from 0 on.
 
-    def places(s):
-        stretches = F.transform(F.sequence(F.lit(0), F.floor((F.size(s) - 1) / STEP).cast("int")), lambda c: _sum(F.slice(s, c * STEP + 1, STEP)))
+    An array that grows is copied each time. So stretches of STEP numbers are folded apart, from
+    what the stretches before them make, which is found the same way.
+    """
 
-        def place(sums):
-            bases = lambda c: _sum(F.slice(sums, 1, c))
-            inner = lambda k: _sum(F.slice(s, F.floor(k / STEP).cast("int") * STEP + 1, k % STEP))
-            return F.transform(gaps_of(F.size(s)), lambda k: bases(F.floor(k / STEP).cast("int")) + inner(k))
+    def fold(stretch, at):
+        start = F.struct(at.alias("at"), F.expr("cast(array() as array<int>)").alias("out"))
+        return F.aggregate(stretch, start, lambda acc, x: F.struct(add(acc["at"], x).alias("at"), F.array_append(acc["out"], acc["at"]).alias("out")), lambda acc: acc["out"])
 
-        return _let(stretches, place)
+    if not levels:
+        return fold(values, F.lit(0))
+    cut = F.transform(F.sequence(F.lit(0), F.floor((F.size(values) - 1) / STEP).cast("int")), lambda c: F.slice(values, c * STEP + 1, STEP))
 
-    def gaps_of(n):
-        return F.sequence(F.lit(0), n - 1)
+    def whole(stretches):
+        made = F.transform(stretches, lambda s: F.aggregate(s, F.lit(0), add))
+        return _let(made, lambda m: F.flatten(F.zip_with(stretches, _running(m, add, levels - 1), fold)))
 
-    return F.zip_with(_let(steps, places), F.slice(gaps, 1, F.size(hits)), lambda a, g: a + F.length(g))
+    return F.when(F.size(values) > 0, _let(cut, whole)).otherwise(F.expr("cast(array() as array<int>)"))
 
 
 def _found(text: Column, kind: str) -> Column:
@@ -100,12 +103,16 @@ def _found(text: Column, kind: str) -> Column:
     pattern, order = F.lit(PATTERNS[kind]), list(PATTERNS).index(kind)
 
     def spans(hits):
-        placed = _let(F.split(text, PATTERNS[kind], -1), lambda gaps: F.zip_with(_starts(gaps, hits), hits, lambda a, h: F.struct(a.alias("start"), h.alias("value"))))
-        good = F.filter(placed, lambda p: _valid(kind, p["value"]))
+        def placed(gaps):
+            # A gap's text is what stands before its hit, back to the hit before.
+            steps = F.zip_with(F.slice(gaps, 1, F.size(hits)), hits, lambda g, h: F.length(g) + F.length(h))
+            parts = F.zip_with(hits, F.slice(gaps, 1, F.size(hits)), lambda h, g: F.struct(h.alias("value"), F.length(g).alias("gap"), F.lower(g.substr(F.lit(-32), F.lit(32))).alias("near")))
+            return F.zip_with(_let(steps, lambda s: _running(s, lambda a, x: a + x)), parts, lambda a, p: F.struct((a + p["gap"]).alias("start"), p["value"].alias("value"), p["near"].alias("near")))
+
+        good = F.filter(_let(F.split(text, PATTERNS[kind], -1), placed), lambda p: _valid(kind, p["value"]))
 
         def scored(p):
-            near = F.lower(text.substr(F.greatest(F.lit(1), p["start"] - 31), F.least(F.lit(32), p["start"])))
-            said = F.exists(F.array(*[F.lit(w) for w in CONTEXT[kind]]), lambda w: F.contains(near, w))
+            said = F.exists(F.array(*[F.lit(w) for w in CONTEXT[kind]]), lambda w: F.contains(p["near"], w))
             score = F.lit(SCORES[kind]) + F.when(said, 0.2).otherwise(0.0)
             return F.struct(p["start"].alias("start"), F.lit(order).alias("order"), (p["start"] + F.length(p["value"])).alias("end"), F.lit(kind).alias("kind"), score.alias("score"))
 
@@ -119,15 +126,17 @@ def _found(text: Column, kind: str) -> Column:
 def find_pii(docs: DataFrame, least: float = 0.6, text_col: str = "text") -> DataFrame:
     """docs with pii_text (null: empty) and pii_spans, sorted by start and kind.
 
-    A span has start and end (code points, end exclusive), kind and score. Texts without spans have
-    an empty array. Rows are independent of each other; no row moves.
+    A span has start and end (code points, end exclusive), kind and score. Of spans that begin at
+    one place the kinds' order decides. Texts without spans have an empty array. Rows are independent
+    of each other, so repeated ones get equal results; no row moves, and none goes or comes. Time
+    grows with the text and its number of spans. Columns of docs with the two names are replaced.
     """
-    made = docs.withColumn("pii_text", F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-    for kind in PATTERNS:
-        made = made.withColumn(f"pii_{kind}", _found(F.col("pii_text"), kind))
-    extra = [F.filter(f"pii_{k}", lambda s: s["score"] >= least) for k in PATTERNS if k not in BASE]
-    spans = F.array_sort(F.concat(*[F.col(f"pii_{k}") for k in BASE], *extra))
-    return made.withColumn("pii_spans", spans).drop(*[f"pii_{k}" for k in PATTERNS])
+    own = [c for c in docs.columns if c not in ("pii_text", "pii_spans")]
+    made = docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("row"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    made = made.select("row", "text", *[_found(F.col("text"), kind).alias(kind) for kind in PATTERNS])
+    extra = [F.filter(k, lambda s: s["score"] >= least) for k in PATTERNS if k not in BASE]
+    spans = F.array_sort(F.concat(*[F.col(k) for k in BASE], *extra))
+    return made.select("row.*", F.col("text").alias("pii_text"), spans.alias("pii_spans"))
 
 
 def told(spans: Column) -> Column:
@@ -135,13 +144,27 @@ def told(spans: Column) -> Column:
 
 
 def masked(text: Column, spans: Column) -> Column:
-    """The text with each span, or each stretch of overlapping spans, as [KIND]."""
-    start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<string>)").alias("out"))
-
-    def step(acc, s):
-        between = text.substr(acc["at"] + 1, s["start"] - acc["at"])
-        apart = F.struct(s["end"].alias("at"), F.concat(acc["out"], F.array(between, F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))).alias("out"))
-        return F.when(s["start"] >= acc["at"], apart).otherwise(F.struct(F.greatest(s["end"], acc["at"]).alias("at"), acc["out"].alias("out")))
-
-    whole = F.aggregate(spans, start, step, lambda acc: F.concat(F.array_join(acc["out"], ""), text.substr(acc["at"] + 1, F.length(text))))
-    return F.when(F.size(spans) > 0, whole).otherwise(text)
+    """The text with each span, or each stretch of overlapping spans, as [KIND] of the first; spans are sorted by start."""
+
+    def between(chunks, a, b):
+        """The characters from a to b, of chunks."""
+        first, last = F.floor(a / CHUNK).cast("int"), F.floor(b / CHUNK).cast("int")
+        chunk = lambda k: F.coalesce(F.get(chunks, k), F.lit(""))
+        inner = F.array_join(F.slice(chunks, first + 2, F.greatest(last - first - 1, F.lit(0))), "")
+        apart = F.concat(chunk(first).substr(a % CHUNK + 1, F.lit(CHUNK)), inner, chunk(last).substr(F.lit(1), b % CHUNK))
+        return F.when(first == last, chunk(first).substr(a % CHUNK + 1, b - a)).otherwise(apart)
+
+    def joined(before):
+        # A span that begins before an earlier one has ended belongs to that one's stretch.
+        every = F.zip_with(spans, before, lambda s, e: F.struct(s["start"].alias("start"), e.alias("before"), s["kind"].alias("kind")))
+        heads = F.filter(every, lambda s: s["start"] >= s["before"])
+
+        def written(chunks):
+            ahead = F.transform(heads, lambda h: F.concat(between(chunks, h["before"], h["start"]), F.lit("["), F.upper(h["kind"]), F.lit("]")))
+            end = F.array_max(F.transform(spans, lambda s: s["end"]))
+            return F.concat(F.array_join(ahead, ""), between(chunks, end, F.length(text)))
+
+        return _let(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0)), written)
+
+    ends = F.transform(spans, lambda s: s["end"])
+    return F.when(F.size(spans) > 0, _let(ends, lambda e: _let(_running(e, lambda a, x: F.greatest(a, x)), joined))).otherwise(text)

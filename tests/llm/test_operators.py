@@ -175,12 +175,30 @@ def test_op5(spark, small, docs, odd, none):
     assert pii.find_pii(none).count() == 0
 
 
+def test_many_spans_of_a_text(spark):
+    """Time grows with the spans of a text, not with their square."""
+    n = 60_000
+    row = pii.find_pii(spark.createDataFrame([("é 10.1.1.1 " * n, 5, "kept")], "text string, pii_spans int, email string")).withColumn("m", pii.masked(F.col("pii_text"), F.col("pii_spans")))
+    got = row.select(F.size("pii_spans").alias("n"), F.col("pii_spans")[n - 1]["start"].alias("last"), F.sha2("m", 256).alias("m"), "email").first()
+    assert (got.n, got.last, got.email) == (n, 11 * (n - 1) + 2, "kept") and got.m == hashlib.sha256(("é [IP] " * n).encode()).hexdigest()
+
+
+def plain_mask(text, spans):
+    out, at = [], 0
+    for s in spans:
+        if s.start >= at:
+            out += [text[at : s.start], f"[{s.kind.upper()}]"]
+        at = max(at, s.end)
+    return "".join([*out, text[at:]])
+
+
 def test_pii_spans_of_random_texts(spark):
     rng = np.random.default_rng(5)
     parts = ["a", "B", "@", ".", "1", "25", "+", " ", "-", "_", "%", "(", ")", "é", "4111111111111111", "10.1.1.1", "x@y.z"]
     texts = ["".join(rng.choice(parts, rng.integers(1, 40))) for _ in range(1500)] + ["7" * 60_000, "a" * 200_000, "a@b.c " * 1000, "+1 (2" * 3000]
-    got = pii.find_pii(spark.createDataFrame([(t,) for t in texts], "text string")).collect()
+    got = pii.find_pii(spark.createDataFrame([(t,) for t in texts], "text string")).withColumn("m", pii.masked(F.col("pii_text"), F.col("pii_spans"))).collect()
     for r in got:
+        assert r.m == plain_mask(r.pii_text, r.pii_spans)
         assert [f"{s.kind}:{s.start}:{s.end}" for s in r.pii_spans if s.kind in pii.BASE] == reference.base_spans(r.text if len(r.text) < 100_000 else ""), r.text[:100]
 
 
