@@ -2,7 +2,8 @@
 
 The tokenizers library does the encoding. Its pre-tokenizers cut a text into pieces which its
 model then encodes one by one, so each distinct piece is encoded once and remembered. Texts with
-letters or white space outside the plain alphabet below go through the library's whole pipeline.
+letters or white space outside the plain alphabet below, and those that hold the string of a token
+that was added to the vocabulary, go through the library's whole pipeline.
 """
 
 from __future__ import annotations
@@ -70,7 +71,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True  # their strings in a text are ordinary text
+        added = self.whole.get_added_tokens_decoder().values()
+        self.added = [t.content for t in added]
+        self.folds = any(t.normalized for t in added)  # then what a text is normalized to may hold one, too
         self.kind, self.remember = kind, remember
         self.known = Remembered(self.whole.model, _byte_letters(), {})
 
@@ -79,7 +82,7 @@ class Encoder:
         return [self.encode_one(t) if t else b"" for t in texts]
 
     def encode_one(self, text: str) -> bytes:
-        if not _plain(text, self.kind):
+        if not _plain(text, self.kind) or self.folds or any(a in text for a in self.added):
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         if len(self.known) > self.remember // 2:
             self.known = Remembered(self.whole.model, self.known.letters, dict(self.known))

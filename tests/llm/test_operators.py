@@ -11,11 +11,11 @@ from collections import defaultdict
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from graphloom.llm import huffman, language, media, minhash, mixing, packing, pii, quality, queries, vectors, warc
 from graphloom.llm.queries import tokenizer_path
-from graphloom.llm.tokens import Encoder
 from tests.llm import reference
 
 LONG = "Die Größe " * 20_000
@@ -153,6 +153,29 @@ def test_op4_against_brute_force(spark, small):
     assert queries.op4_embedding_dedup(spark, small).count() == spark.read.parquet(f"{small}/embeddings.parquet").count()
 
 
+def test_leaves_stay_small_and_links_are_found(spark, monkeypatch):
+    """Leaves beyond what the first sample can split are split by samples of their own; pairs just over the threshold are found."""
+    rng, n = np.random.default_rng(1), 6_000
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    x = unit(rng.standard_normal((n, 64)))
+    e = rng.standard_normal((n // 4, 64))
+    e = unit(e - (e * x[: n // 4]).sum(1, keepdims=True) * x[: n // 4])
+    c = rng.uniform(0.9001, 0.92, (n // 4, 1))
+    x[n // 4 : n // 2] = c * x[: n // 4] + np.sqrt(1 - c * c) * e
+    sizes, refine = [], vectors.refine
+
+    def seen(*args):
+        out = refine(*args)
+        sizes.extend(r["count"] for r in out.select(F.explode("leaves").alias("leaf")).groupBy("leaf").count().collect())
+        return out
+
+    monkeypatch.setattr(vectors, "refine", seen)
+    rows = spark.createDataFrame([(k, v) for k, v in enumerate(x.tolist())], "vec_id long, embedding array<double>").repartition(4)
+    got = {r.vec_id: r.component_id for r in vectors.near_vectors(rows, leaf_rows=128, sample_rows=256, leaf_sample=256).collect()}
+    assert max(sizes) <= 256 and sum(sizes) < 14 * n
+    assert np.mean([got[n // 4 + k] == k for k in range(n // 4)]) > 0.97
+
+
 def test_repeated_vector_rows(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.01]), (None, [1.0, 0.0])], "vec_id long, embedding array<double>")
     got = sorted(tuple(r) for r in vectors.near_vectors(df).where("vec_id is not null").collect())
@@ -203,7 +226,7 @@ def test_pii_spans_of_random_texts(spark):
 
 
 def pieces_of(texts, capacity=2048):
-    enc = Encoder(tokenizer_path("word_bpe_49k.json"), "word").whole
+    enc = Tokenizer.from_file(tokenizer_path("word_bpe_49k.json"))
     out = {}
     for k, t in texts.items():
         ids = np.array([*enc.encode(t or "", add_special_tokens=False).ids, 0], "<u4")
@@ -231,6 +254,9 @@ def test_op6(spark, small, docs, odd, none):
     assert {(r.doc_id, r.piece): (r.start, r.length, r.ids_crc32) for r in got} == want and len(got) == len(want)
     assert sorted(2048 - sum(n for _, n in p) for p in fill_of(got).values()) == reference.best_fit([w[1] for w in want.values()], 2048)
     path = tokenizer_path("word_bpe_49k.json")
+    marked = {1: "x <|endoftext|> y", 2: "<|startoftext|>"}
+    packed = packing.pack_documents(spark.createDataFrame(list(marked.items()), "doc_id long, text string"), path).collect()
+    assert {(r.doc_id, r.piece): (r.start, r.length, r.ids_crc32) for r in packed} == pieces_of(marked)
     packed = packing.pack_documents(odd, path, keep_ids=True)
     fill_of(packed.collect())
     whole = packing.sequences(packed).collect()
@@ -324,13 +350,16 @@ def test_rows_that_repeat_a_doc_id(spark):
 
 def test_op8(spark, small, docs, odd, none):
     got = rows_of(queries.op8_token_output(spark, small), "doc_id")
-    enc = Encoder(tokenizer_path("byte_bpe_50k.json"), "byte").whole
+    enc = Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json"))
     at = 0
     for k in sorted(docs):
         ids = np.array([*enc.encode(docs[k].text or "", add_special_tokens=False).ids, 0], "<u4")
         assert (got[k].start, got[k].n_tokens, got[k].ids_crc32) == (at, len(ids), zlib.crc32(ids.tobytes()))
         at += len(ids)
     path = tokenizer_path("byte_bpe_50k.json")
+    marked = spark.createDataFrame([(1, "x <|endoftext|> y"), (2, "z")], "doc_id long, text string")
+    first = min(huffman.read_files(huffman.encode_documents(marked, path)).collect(), key=lambda r: r.start)
+    assert first.ids_crc32 == zlib.crc32(np.array([*enc.encode("x <|endoftext|> y", add_special_tokens=False).ids, 0], "<u4").tobytes())
     back = sorted(huffman.read_files(huffman.encode_documents(odd, path)).collect(), key=lambda r: r.start)
     assert len(back) == odd.count() and back[-1].doc_id is None and [r.start for r in back] == np.cumsum([0, *[r.n_tokens for r in back[:-1]]]).tolist()
     assert huffman.read_files(huffman.encode_documents(none, path)).count() == 0

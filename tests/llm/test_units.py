@@ -9,24 +9,26 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from graphloom.llm import huffman, language, media, minhash, packing, quality, vectors, warc
 from graphloom.llm.queries import tokenizer_path
 from graphloom.llm.tokens import Encoder
 from tests.llm import reference
 
-ODD = ["", "a  b", " x", "x \n y", "it's we'll DON'T", "<|endoftext|> a", "ﬁ ÇA İstanbul ΟΔΟΣ", "a\tb", "é x", "1234 5,6!! \n\n z ", "\n", "  ", "Ñé× ÷ª", "x" * 5000, "naïve Größe ÀÉ", "a\x1cb\x85c", "𝒳 emoji 😀 end"]
+ODD = ["", "a  b", " x", "x \n y", "it's we'll DON'T", "<|endoftext|> a", "x <|endoftext|> y", "a<|startoftext|>B<|endoftext|>", "<|EndOfText|> <|endoftext", "ﬁ ÇA İstanbul ΟΔΟΣ", "a\tb", "é x", "1234 5,6!! \n\n z ", "\n", "  ", "Ñé× ÷ª", "x" * 5000, "naïve Größe ÀÉ", "a\x1cb\x85c", "𝒳 emoji 😀 end"]
 
 
 @pytest.mark.parametrize(("name", "kind"), [("word_bpe_49k.json", "word"), ("byte_bpe_50k.json", "byte")])
 def test_encoder_is_the_library(name, kind):
     enc = Encoder(tokenizer_path(name), kind, remember=40)
+    library = Tokenizer.from_file(tokenizer_path(name))
 
     @settings(max_examples=150, deadline=None)
     @given(st.lists(st.text(st.sampled_from("abcXYZ 019.,'!é\n\t-ßÑ") | st.characters(codec="utf-8"), max_size=60), max_size=5))
     def run(texts):
         texts = [*texts, *ODD]
-        whole = enc.whole.encode_batch(texts, add_special_tokens=False)
+        whole = library.encode_batch(texts, add_special_tokens=False)
         assert [np.frombuffer(b, "<u4").tolist() for b in enc.encode(texts)] == [e.ids for e in whole]
 
     run()
@@ -192,4 +194,4 @@ def test_grams_of_a_text_do_not_depend_on_its_batch():
 
 def test_crc_of_ids():
     enc = Encoder(tokenizer_path("byte_bpe_50k.json"), "byte")
-    assert zlib.crc32(enc.encode(["Hello world"])[0]) == zlib.crc32(np.array(enc.whole.encode("Hello world", add_special_tokens=False).ids, "<u4").tobytes())
+    assert zlib.crc32(enc.encode(["Hello world"])[0]) == zlib.crc32(np.array(Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json")).encode("Hello world", add_special_tokens=False).ids, "<u4").tobytes())
