@@ -111,7 +111,7 @@ def write_archive(out, records: Iterator[bytes], limit: int, sample: int = 200,
 def read_archive(file, chunk: int = 1 << 20) -> Iterator[Record]:
     """Records of an archive, frame by frame; memory is bound by the longest record.
 
-    A frame that can't be decoded gives a record with an error and ends the archive.
+    A frame that can't be decoded gives a record with an error; reading goes on at the next one.
     """
     data = file.read(chunk)
     trained = None
@@ -127,19 +127,25 @@ def read_archive(file, chunk: int = 1 << 20) -> Iterator[Record]:
             content = zstandard.decompress(content)
         trained = zstandard.ZstdCompressionDict(content)
     frames = zstandard.ZstdDecompressor(dict_data=trained) if trained else zstandard.ZstdDecompressor()
-    while data or (data := file.read(chunk)):
-        one, parts = frames.decompressobj(), []
+    held = bytearray(data)  # from the beginning of a frame on
+    while held or held.extend(file.read(chunk)) or held:
+        one, parts, piece = frames.decompressobj(), [], bytes(held)
         try:
             while True:
-                parts.append(one.decompress(data))
+                parts.append(one.decompress(piece))
                 if one.eof:
                     break
-                if not (data := file.read(chunk)):
+                if not (piece := file.read(chunk)):
                     raise zstandard.ZstdError("a frame is cut off")
+                held += piece
         except zstandard.ZstdError as e:
             yield Record(error=str(e))
-            return
-        data = one.unused_data
+            begin = struct.pack("<I", ZSTD_FRAME)
+            while (at := held.find(begin, 1)) < 0 and (piece := file.read(chunk)):
+                held = held[-3:] + piece if len(held) > 3 else held + piece
+            held = held[at:] if at > 0 else bytearray()
+            continue
+        held = bytearray(one.unused_data)
         yield parse_record(b"".join(parts))
 
 
@@ -212,7 +218,8 @@ def read_archives(archives: DataFrame) -> DataFrame:
     """One row per record: page_id, url, record_type, payload_bytes, payload_digest, refers_to, payload, error.
 
     A response's length and digest are those of the payload read, and error says where they differ
-    from its headers. A revisit holds no payload: its length and digest are what it states.
+    from its headers. An archive that gives another number of sound records than were written gets
+    one more row with an error that tells both. A revisit holds no payload: its length and digest are what it states.
     """
     number = lambda x: int(m[1]) if (m := re.fullmatch(r"<urn:page:(-?[0-9]+)>", x or "")) else None
 
@@ -237,17 +244,20 @@ def read_archives(archives: DataFrame) -> DataFrame:
             return out.astype({c: "Int64" for c in ("page_id", "payload_bytes", "refers_to")})
 
         for b in batches:
-            for uri in b["uri"]:
-                rows, size = [], 0
+            for uri, written in zip(b["uri"], b["n_records"], strict=True):
+                rows, size, sound = [], 0, 0
                 with read_file(uri) as file:
                     for r in read_archive(file):
                         rows.append(row(r))
                         size += len(r.block)
+                        sound += r.error is None
                         if len(rows) >= 1000 or size > 1 << 24:
                             yield made(rows)
                             rows, size = [], 0
+                if sound != written:
+                    rows.append((*[None] * 7, f"{sound} of {written} records read"))
                 if rows:
                     yield made(rows)
 
     n = max(1, min(archives.count(), 20_000))
-    return archives.select("uri").repartition(n, "uri").mapInPandas(run, "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, payload binary, error string")
+    return archives.select("uri", "n_records").repartition(n, "uri").mapInPandas(run, "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, payload binary, error string")
