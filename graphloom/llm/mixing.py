@@ -30,7 +30,7 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (3, 1, 2), sha
     by weight: the level to which the others fill is found over sources in order of their ceilings.
     """
     per = sizes.groupBy("source").agg(F.count("*").alias("n"), F.sum("size").alias("source_size"))
-    # Windows over one row per source.
+    # Windows over one row per source, in one task: sources are taken to be few beside documents.
     named = per.withColumn("rank", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1)
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("rank") % len(weights)).cast("int") + 1)
     named = named.withColumn("weight", weight).withColumn("ceiling", most * F.col("source_size"))
@@ -51,7 +51,7 @@ def _let(value: Column, use) -> Column:
 
 
 def _item(x: Column, mass: Column) -> Column:
-    return F.struct(*[x[k].alias(k) for k in ("rank", "doc_id", "key", "size", "whole", "draw")], mass.alias("mass"))
+    return F.struct(*[x[k].alias(k) for k in ("rank", "doc_id", "key", "copy", "size", "whole", "draw")], mass.alias("mass"))
 
 
 def _moved(held: Column, x: Column) -> Column:
@@ -94,16 +94,18 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float =
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(*[F.col(f"`{c}`") for c, kind in docs.dtypes if not kind.startswith("map")]).alias("key"),
         F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"),
     )
+    rows = rows.groupBy("doc_id", "key", "source", "size").agg(F.count("*").alias("times"))  # equal rows needn't meet in a task
+    rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "times"))).drop("times")
     rows = materialize(rows, "sizes")
     targets = materialize(source_targets(rows, weights, share, most), "targets")
     rate = F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(float(most)))).otherwise(0.0)
     with_rate = rows.join(targets, rows["source"].eqNullSafe(targets["source"])).drop(targets["source"]).withColumn("rate", rate)
     whole = F.floor(F.col("rate") + 1e-12)
     mass = F.greatest(F.lit(0.0), F.col("rate") - F.col("whole")) * F.col("size")
-    draw = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "key"), F.lit(1 << 40)) / float(1 << 40)
-    at = F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id", "key"), F.ceil(F.col("n") / block))
+    draw = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "key", "copy"), F.lit(1 << 40)) / float(1 << 40)
+    at = F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id", "key", "copy"), F.ceil(F.col("n") / block))
     # Large documents settle first, so that what is left over is small.
-    item = F.struct((-F.col("size")).alias("rank"), "doc_id", "key", "size", "whole", draw.alias("draw"), mass.alias("mass"))
+    item = F.struct((-F.col("size")).alias("rank"), "doc_id", "key", "copy", "size", "whole", draw.alias("draw"), mass.alias("mass"))
     level = with_rate.withColumn("whole", whole).where("size > 0").select("source", at.alias("block"), item.alias("item"))
     kind = dict(level.dtypes)["item"]
     blocks = targets.agg(F.max(F.ceil(F.col("n") / block))).first()[0] or 1
@@ -117,7 +119,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float =
         blocks = -(-blocks // block)
         level = folded.select("source", F.floor(F.col("block") / block).alias("block"), F.col("held").alias("item"))
     # A source's last residual is taken with the probability that its mass is of its size.
-    last = F.pmod(F.xxhash64(F.lit(seed + 2), "held.doc_id", "held.key"), F.lit(1 << 40)) / float(1 << 40)
+    last = F.pmod(F.xxhash64(F.lit(seed + 2), "held.doc_id", "held.key", "held.copy"), F.lit(1 << 40)) / float(1 << 40)
     final = F.when(last * F.col("held.size") < F.col("held.mass"), F.col("held.size")).otherwise(0).cast("double")
     settled = settled.union(folded.select("source", _item(F.col("held"), final).alias("item")))
     copies = (F.col("item.whole") + F.when(F.col("item.mass") > 0, 1).otherwise(0)).cast("int")
@@ -128,14 +130,16 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float =
 
 
 def mixed_documents(docs: DataFrame, mixed: DataFrame) -> DataFrame:
-    """The documents as often as the mix takes them, with the columns of docs."""
-    told = mixed.groupBy(F.col("doc_id").alias("mix_id"), F.col("key").alias("mix_key")).agg(F.sum("copies").alias("mix_copies"), F.count("*").alias("mix_rows")).where("mix_copies > 0")
+    """The documents as often as the mix takes them, with the columns of docs.
+
+    Equal rows are taken as often as all of them together. Extra columns may have any name.
+    """
+    told = mixed.groupBy(F.col("doc_id").alias("mix_id"), F.col("key").alias("mix_key")).agg(F.sum("copies").alias("copies"), F.count("*").alias("times")).where("copies > 0")
     told = materialize(told, "copies")
-    own = docs.withColumn("mix_own", F.xxhash64(*[F.col(f"`{c}`") for c, kind in docs.dtypes if not kind.startswith("map")]))
-    joined = own.join(told, F.col("doc_id").cast("long").eqNullSafe(F.col("mix_id")) & (F.col("mix_own") == F.col("mix_key")))
-    times = F.col("mix_copies")
-    if told.where("mix_rows > 1").limit(1).count():  # equal rows share their copies
-        rank = F.row_number().over(Window.partitionBy("mix_id", "mix_key").orderBy(F.lit(1)))
-        times = F.expr("mix_copies div mix_rows") + F.when(F.col("mix_rank") <= F.col("mix_copies") % F.col("mix_rows"), 1).otherwise(0)
-        joined = joined.withColumn("mix_rank", rank)
-    return joined.withColumn("mix_time", F.explode(F.array_repeat(F.lit(1), times.cast("int")))).select(*docs.columns)
+    key = F.xxhash64(*[F.col(f"`{c}`") for c, kind in docs.dtypes if not kind.startswith("map")])
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("own_id"), key.alias("own_key"))
+    joined = own.join(told, F.col("own_id").eqNullSafe(F.col("mix_id")) & (F.col("own_key") == F.col("mix_key"))).select("row", "mix_id", "mix_key", "copies", "times")
+    out = joined.where("times = 1").select("row", "copies")
+    if told.where("times > 1").limit(1).count():  # one of equal rows stands for all
+        out = out.union(joined.where("times > 1").groupBy("mix_id", "mix_key").agg(F.first("row").alias("row"), F.first("copies").alias("copies")).select("row", "copies"))
+    return out.select("row", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select("row.*")
