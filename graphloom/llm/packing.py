@@ -128,8 +128,8 @@ def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
 
     pieces must be a written table, since it is read twice, and have doc_id, piece and
     ids_crc32, by which rows of one length are ranked; rows equal in all of these are
-    interchangeable. Null ids and repeated rows are packed like others. An empty table gives
-    an empty result.
+    interchangeable, and are ranked in one task. Null ids and repeated rows are packed like others.
+    An empty table gives an empty result. Further columns may have any name but the two new ones.
     """
     spark = pieces.sparkSession
     counts = {int(r[0]): int(r[1]) for r in pieces.groupBy("length").count().collect()}  # capacity rows at most
@@ -141,7 +141,8 @@ def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
         [(length, -(-counts[length] // RANKED_TOGETHER), r) for length, r in by_length.items()],
         "length long, salts long, runs array<struct<first: long, past: long, bin: long, per: long, at: long>>",
     )
-    salted = pieces.join(F.broadcast(plan.select("length", "salts")), "length").withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.col("salts"))).drop("salts")
+    rows = pieces.select(F.struct(*[F.col(f"`{c}`") for c in pieces.columns]).alias("row"), "length", "doc_id", "piece", "ids_crc32")
+    salted = rows.join(F.broadcast(plan.select("length", "salts")), "length").withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.col("salts"))).drop("salts")
     groups = salted.groupBy("length", "salt").count()
     before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     groups = groups.select("length", "salt", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("base"))
@@ -150,7 +151,7 @@ def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
     placed = ranked.join(F.broadcast(plan.select("length", "runs")), "length")  # a few runs for each length: bound by the capacity
     placed = placed.withColumn("run", F.expr("filter(runs, r -> r.first <= rank and rank < r.past)[0]"))
     return placed.select(
-        *pieces.columns,
+        "row.*",
         F.expr("run.bin + (rank - run.first) div run.per").alias("sequence_id"),
         F.expr("run.at + ((rank - run.first) % run.per) * length").alias("offset"),
     )

@@ -71,6 +71,22 @@ def test_warc_repeats_nulls_and_clashes(spark):
     assert warc.read_archives(warc.write_archives(spark.createDataFrame([], schema))).count() == 0
 
 
+def test_damaged_archive_loses_one_record(spark):
+    pages = spark.createDataFrame([(k, "u", f"page {k} " * 50) for k in range(20)], "page_id long, url string, html string").coalesce(1)
+    archives = warc.write_archives(pages)
+    (uri,) = [r.uri for r in archives.collect()]
+    path = uri.removeprefix("file://")
+    with open(path, "rb") as f:
+        data = bytearray(f.read())
+    at = data.index(b"\x28\xb5\x2f\xfd", 12)  # the first record's frame
+    data[at + 40] ^= 0xFF
+    with open(path, "wb") as f:
+        f.write(data)
+    got = warc.read_archives(archives).collect()
+    sound = [r.page_id for r in got if r.error is None]
+    assert len(sound) == len(set(sound)) == 19 and [r.error for r in got if r.error][-1] == "19 of 20 records read"
+
+
 def test_op2_and_awkward_texts(spark, small, docs, odd, none):
     got = rows_of(queries.op2_quality(spark, small), "doc_id")
     label = {r.doc_id: r.quality for r in spark.read.parquet(f"{small}/labels.parquet").collect()}
@@ -399,6 +415,26 @@ def test_op9(spark, small, docs, odd, none):
     assert mixing.mix(none).count() == 0 and mixing.mixed_documents(none, mixing.mix(none)).count() == 0
 
 
+def test_equal_rows_are_mixed_each_for_itself(spark):
+    rows = [(1, "w " * 4, "s", 0, 0)] * 3_000 + [(None, "w " * 4, "s", 0, 0)] * 500 + [(k, "x " * 3, None, 0, 0) for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, mix_id int, copies int").repartition(5)
+    mixed = mixing.mix(docs)
+    assert mixed.count() == len(rows)
+    for r in mixed.groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target")).collect():
+        assert abs(r.taken - r.target) <= 4
+    out = mixing.mixed_documents(docs, mixed)
+    assert out.columns == docs.columns and out.count() == mixed.agg(F.sum("copies")).first()[0]
+    assert {r.copies for r in out.select("copies").distinct().collect()} == {0}
+
+
+def test_columns_of_clashing_names(spark):
+    pieces = spark.createDataFrame([(k, 0, 100 + k % 7, 5, 1, 2, 3, 4) for k in range(60)], "doc_id long, piece int, length long, ids_crc32 long, salt int, rank int, run int, base int")
+    packed = packing.pack(pieces, 256)
+    assert packed.columns == [*pieces.columns, "sequence_id", "offset"] and {tuple(r[4:8]) for r in packed.collect()} == {(1, 2, 3, 4)}
+    docs = spark.createDataFrame([(1, "one two three four five six", 1, 2, 3, 4), (2, "one two three four five six", 5, 6, 7, 8)], "doc_id long, text string, asked int, own_id int, row int, dropped_id int")
+    assert [tuple(r)[2:] for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()] == [(1, 2, 3, 4)]
+
+
 def test_mixing_is_unbiased(spark):
     rows = spark.createDataFrame([(k, "w " * (1 + k % 9), "s" if k < 300 else "t") for k in range(500)], "doc_id long, text string, source string")
     seen = [mixing.mix(rows, block=8, seed=s).select("doc_id", "copies", "target", "source_size").collect() for s in range(5)]
@@ -412,6 +448,24 @@ def test_op10(spark, small, docs, odd, none):
     held = [k for k in docs if zlib.crc32(str(k).encode()) % 3 == 1]
     assert all(got[k].held_out == (k in set(held)) for k in docs)
     assert np.mean([got[k].lang_pred == docs[k].lang for k in held]) > 0.95
+    def grams_of(text):
+        low = [c if c.isalpha() else " " for c in f" {(text or '').lower()} "] + [" "] * 3
+        for at in range(len(low) - 3):
+            h = 0
+            for k in range(language.ORDERS):
+                h = ((h ^ ord(low[at + k])) * 0x9E3779B1 + k + 1) % 2**32
+                yield (h ^ h >> 15) % language.BINS
+
+    counts = defaultdict(lambda: np.full(language.BINS, 0.5))
+    for k, d in docs.items():
+        if k not in set(held) and d.lang is not None and d.text is not None:
+            np.add.at(counts[d.lang], list(grams_of(d.text)), 1)
+    logs = {lang: np.log(c / c.sum()) for lang, c in counts.items()}
+    for k in list(docs)[:60]:  # a plain naive Bayes of the same bins
+        each = {lang: table[list(grams_of(docs[k].text))].sum() for lang, table in logs.items()}
+        top = max(each.values())
+        if any(c.isalpha() for c in docs[k].text or ""):
+            assert each[got[k].lang_pred] == top and got[k].score == pytest.approx(1 / sum(np.exp(v - top) for v in each.values()), abs=1e-3)
     told = language.predict(odd, language.train(odd)).select("doc_id", "text", "lid.*").collect()
     assert len(told) == odd.count() and all((r.lang_pred == "und") == (not any(c.isalpha() for c in r.text or "")) and 0 <= r.score <= 1 for r in told)
     empty = language.train(none)

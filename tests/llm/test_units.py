@@ -182,14 +182,14 @@ def test_line_features_do_not_depend_on_stretches():
     assert len(parts) > 5 and (np.concatenate([x for _, _, x in parts]) == whole).all()
 
 
-def test_grams_of_a_text_do_not_depend_on_its_batch():
-    texts = ["Hello wörld", "", "123", "a" * 300]
-    bins, begin, has = language.grams(texts)
-    ends = [*begin[1:], len(bins)]
+def test_grams_of_a_text_do_not_depend_on_its_batch_or_stretches():
+    texts = ["Hello wörld", "", "123", "a" * 300, "Ünd so weiter, ab und zu " * 30]
+    text, bins, n, has = language.grams(texts)
     for k, t in enumerate(texts):
-        alone, _, own = language.grams([t])
-        assert (alone[: len(t)] == bins[begin[k] : ends[k]][: len(t)]).all() and own[0] == has[k]
-    assert has.tolist() == [True, False, False, True]
+        for most in (1 << 20, 7):
+            _, alone, times, own = language.grams([t], most)
+            assert alone.tolist() == bins[text == k].tolist() and times.tolist() == n[text == k].tolist() and own[0] == has[k]
+    assert has.tolist() == [True, False, False, True, True] and n[text == 1].sum() == 2 * language.ORDERS
 
 
 def test_crc_of_ids():
