@@ -4,30 +4,31 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from graphloom.storage import materialize
 
-def may_hold(ids: DataFrame, column: str, about: int, most_bits: int = 1 << 28) -> Callable[[Column], Column]:
-    """A test of id columns: true for every id of the table, and for few others.
 
-    ``about``: how many ids there are. The bitmap has some 16 bits for each and ``most_bits`` at most (32 MB), so it may be
-    broadcast; beyond that it lets more through, and the join that follows decides. A null id is not held.
+def may_hold(ids: DataFrame, column: str, about: int, most_bits: int = 1 << 28) -> Callable[[DataFrame, str], DataFrame]:
+    """Marks rows by a column of ids: ``asked`` is true for every id of the table, and for few others.
+
+    ``about``: how many ids there are. The bitmap has some 16 bits for each and ``most_bits`` at
+    most (32 MB), so it may be broadcast; beyond that it lets more through, and the join that follows
+    decides. A null id is not held. It is a table of stretches of 64 words, looked up by a join.
     """
-    ids = ids.select(F.col(column).cast("long").alias("id")).where("id is not null")
     bits = min(most_bits, 1 << max(16, (16 * about).bit_length()))
-    place = F.pmod(F.xxhash64("id"), F.lit(bits))
-    cells = ids.select(place.alias("place")).select((F.col("place") / 64).cast("long").alias("word"), F.expr("shiftleft(1L, cast(place % 64 as int))").alias("bit"))
-    words = cells.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()  # bits / 64 rows at most
-    table = np.zeros(bits // 64, np.uint64)
-    table[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
-    sent = ids.sparkSession.sparkContext.broadcast(table)
-
-    def has(at: pd.Series) -> pd.Series:
-        k = at.to_numpy(np.int64)
-        return pd.Series((sent.value[k >> 6] >> (k & 63).astype(np.uint64)) & np.uint64(1) == 1)
-
-    test = F.pandas_udf(has, "boolean")
-    return lambda c: c.isNotNull() & test(F.pmod(F.xxhash64(c.cast("long")), F.lit(bits)))
+    place = lambda c: F.pmod(F.xxhash64(F.col(c).cast("long")), F.lit(bits))
+    cells = ids.where(F.col(column).isNotNull()).select(place(column).alias("place"))
+    words = cells.groupBy(F.expr("place div 64").alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(place % 64 as int)))").alias("bits"))
+    stretches = words.groupBy(F.expr("word div 64").alias("held_stretch")).agg(F.map_from_entries(F.collect_list(F.struct(F.expr("word % 64").alias("k"), "bits"))).alias("own"))
+    whole = stretches.select("held_stretch", F.expr("transform(sequence(0L, 63L), k -> coalesce(own[k], 0L))").alias("held_words"))
+    whole = materialize(whole, "bitmap")  # bits / 4096 rows
+
+    def asked(rows: DataFrame, of: str) -> DataFrame:
+        at = rows.withColumn("held_at", place(of))
+        found = at.join(F.broadcast(whole), F.expr("held_at div 4096") == F.col("held_stretch"), "left")
+        held = F.expr("shiftrightunsigned(get(held_words, cast(held_at div 64 % 64 as int)), cast(held_at % 64 as int)) & 1 = 1")
+        return found.select(*rows.columns, (F.coalesce(held, F.lit(False)) & F.col(of).isNotNull()).alias("asked"))
+
+    return asked

@@ -35,7 +35,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 def word_hashes(text: str | None) -> np.ndarray:
     """64-bit hashes of the words of a text: A-Z lower-cased, cut at ASCII white space."""
     words = (text or "").encode().lower().split()
-    if len(_words) > 500_000:
+    if len(_words) > 200_000:
         _words.clear()
     try:
         return np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
@@ -259,7 +259,7 @@ def rare_shingle_pairs(docs: DataFrame, reps: DataFrame, parts: DataFrame, shing
     is broadcast; a coarse count makes more candidates and loses none.
     """
     asked = may_hold(reps, "rep", reps.count())
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(asked(F.col("doc_id")))
+    own = asked(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), "doc_id").where("asked").drop("asked")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(cells, np.int64)
@@ -287,7 +287,7 @@ def rare_shingle_pairs(docs: DataFrame, reps: DataFrame, parts: DataFrame, shing
                     rows.append((d, n, s[k[place]].view(np.int64), place.astype(np.int32)))
             yield pd.DataFrame(rows, columns=["rep", "n", "shingles", "places"])
 
-    firsts = own.where("doc_id is not null").mapInPandas(first, "rep long, n long, shingles array<long>, places array<int>")
+    firsts = own.mapInPandas(first, "rep long, n long, shingles array<long>, places array<int>")
     firsts = materialize(firsts.join(parts, F.col("rep") == F.col("node"), "left").select("rep", "n", F.coalesce("component", "rep").alias("part"), "shingles", "places"), "first-shingles")
     lists = firsts.withColumn("x", F.explode(F.arrays_zip("shingles", "places"))).select(F.col("x.shingles").alias("shingle"), F.col("x.places").alias("at"), "rep", "n", "part")
     indexed = F.expr(f"at <= n + floor(-{2 * percent} * n / {100 + percent})")
@@ -320,7 +320,7 @@ def confirm(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int, repea
             yield b.loc[keep, ["a", "b"]]
 
     asked = may_hold(pairs.select(F.explode(F.array("a", "b")).alias("id")), "id", 2 * pairs.count())  # else every text would move
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(asked(F.col("doc_id")))
+    texts = asked(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), "doc_id").where("asked").drop("asked")
     if repeats:
         texts = texts.groupBy("doc_id", F.xxhash64("text"), F.xxhash64(F.lit(1), "text")).agg(F.first("text").alias("text")).select("doc_id", "text")
     one = pairs.join(texts, F.col("b") == F.col("doc_id")).select("a", "b", F.col("text").alias("text_b"))

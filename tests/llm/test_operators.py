@@ -15,6 +15,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from graphloom.llm import huffman, language, media, minhash, mixing, packing, pii, quality, queries, vectors, warc
+from graphloom.llm.idfilter import may_hold
 from graphloom.llm.queries import tokenizer_path
 from tests.llm import reference
 
@@ -357,6 +358,16 @@ def test_links_among_texts_of_a_template(spark, n, others, planted, block_rows):
     assert got == {k: k - 1 if k % 10 == 1 else k for k in texts}
 
 
+def test_id_filter(spark):
+    ids = spark.createDataFrame([(k * 7 - 900,) for k in range(500)] + [(None,), (-900,)], "id long")
+    rows = spark.createDataFrame([(k,) for k in range(-3000, 3000)] + [(None,)], "id long")
+    want = {k * 7 - 900 for k in range(500)}
+    held = {r.id for r in may_hold(ids, "id", 500)(rows, "id").where("asked").collect()}
+    assert want <= held and None not in held and len(held) < len(want) + 60
+    assert want <= {r.id for r in may_hold(ids, "id", 500, 1 << 6)(rows, "id").where("asked").collect()}
+    assert may_hold(ids.limit(0), "id", 0)(rows, "id").where("asked").count() == 0
+
+
 def test_rows_that_repeat_a_doc_id(spark):
     words = " ".join(f"w{k}" for k in range(60))
     rows = [(1, words)] * 300 + [(1, "another text of this id")] + [(2, words + " end")] * 300 + [(3, "far from all of them")]
