@@ -27,7 +27,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     dropped = materialize(dropped, "dropped")
     asked = may_hold(dropped, "dropped_id", dropped.count())
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))  # columns of docs can't clash with those used here
-    marked = whole.select("row", F.col("row.doc_id").cast("long").alias("own_id")).withColumn("asked", asked(F.col("own_id")))
+    marked = asked(whole.select("row", F.col("row.doc_id").cast("long").alias("own_id")), "own_id")
     doubted = marked.where("asked").join(dropped, F.col("own_id") == F.col("dropped_id"), "left_anti")
     kept = marked.where("not asked").select("row", "own_id").union(doubted.select("row", "own_id"))  # what is surely kept needn't move
     if found.groupBy("doc_id").count().where("count > 1").limit(1).count():
