@@ -12,7 +12,7 @@ from graphloom.operators.entities import rule_mentions
 SQL = {
     "articles": "select doc_id as id, left(split_part(text, chr(10), 1), 80) as title, text as content, source, timestamp '2024-01-01' + to_days((doc_id % 28)::int) as published_at, 'https://' || source || '.example.com/' || (doc_id % 700)::varchar as url, case when doc_id % 7 = 0 then 'ingested' when doc_id % 7 < 4 then 'embedded' else 'clustered' end as status, strftime(timestamp '2024-01-01' + to_days((doc_id % 28)::int), '%G-W%V') as temporal_window from documents where text is not null",
     "mentions": "select doc_id as article_id, unnest(regexp_extract_all(text, '[A-Z][a-z]+')) as text from documents where text is not null",
-    "triples": "select strftime(l_shipdate, '%G-W%V') as event_id, l_orderkey * 10 + l_linenumber as ord, sn.n_name as source, lower(o_orderpriority) as relation, cn.n_name as target, l_discount::double as confidence from lineitem join orders on l_orderkey = o_orderkey join customer on o_custkey = c_custkey join supplier on l_suppkey = s_suppkey join nation sn on s_nationkey = sn.n_nationkey join nation cn on c_nationkey = cn.n_nationkey where l_linenumber = 1 and l_orderkey <= 300 and sn.n_name <> cn.n_name",
+    "triples": "select strftime(l_shipdate, '%G-W%V') as event_id, l_orderkey * 10 + l_linenumber as ord, sn.n_name as source, lower(o_orderpriority) as relation, cn.n_name as target, l_discount::double as confidence from lineitem join orders on l_orderkey = o_orderkey join customer on o_custkey = c_custkey join supplier on l_suppkey = s_suppkey join nation sn on s_nationkey = sn.n_nationkey join nation cn on c_nationkey = cn.n_nationkey where sn.n_name <> cn.n_name",
 }
 
 
@@ -37,9 +37,8 @@ def mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def triples(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = lambda name: table(spark, sf_dir, name)
-    lines = t("lineitem").where("l_linenumber = 1 and l_orderkey <= 300")
     nation = t("nation").select("n_nationkey", "n_name")
-    rows = lines.join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(t("customer"), F.col("o_custkey") == F.col("c_custkey")).join(t("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+    rows = t("lineitem").join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(t("customer"), F.col("o_custkey") == F.col("c_custkey")).join(t("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
     rows = rows.join(nation.withColumnsRenamed({"n_nationkey": "sk", "n_name": "source"}), F.col("s_nationkey") == F.col("sk")).join(nation.withColumnsRenamed({"n_nationkey": "ck", "n_name": "target"}), F.col("c_nationkey") == F.col("ck"))
     return rows.where("source <> target").select(
         iso_week(F.col("l_shipdate")).alias("event_id"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("long").alias("ord"), "source",

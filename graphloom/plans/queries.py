@@ -128,17 +128,19 @@ def rss_date_parse(spark, sf):
     return e.select("event_id", T.parse_date(made).alias("parsed"))
 
 
-@query("select event_id, coalesce(try_cast(regexp_extract(props, '[0-9]+') as bigint), -1) as n, 'Unknown Event' as label from events")
+@query("select event_id, try_cast(regexp_extract(props, '\"k\": *(-?[0-9]+)', 1) as bigint) as n, case when event_id % 2 = 0 then event_type else 'Unknown Event' end as label from events")
 def llm_json_parse(spark, sf):
-    e = B.table(spark, sf, "events").select("event_id", F.concat(F.lit("Sure:\n```json\n"), "props", F.lit("\n```\ndone")).alias("answer"))
-    got = F.from_json(T.llm_json(F.col("answer")), "n long, event_label string")
-    n = F.coalesce(F.regexp_extract(F.col("answer"), "[0-9]+", 0).try_cast("long"), F.lit(-1))
-    return e.select("event_id", F.coalesce(got["n"], n).alias("n"), F.coalesce(got["event_label"], F.lit("Unknown Event")).alias("label"))
+    label = F.when(F.col("event_id") % 2 == 0, F.concat(F.lit(', "event_label": "'), "event_type", F.lit('"'))).otherwise(F.lit(""))
+    said = F.concat(F.regexp_replace("props", r"\}\s*$", ""), label, F.lit("}"))
+    e = B.table(spark, sf, "events").select("event_id", F.concat(F.lit("Sure:\n```json\n"), said, F.lit("\n```\ndone")).alias("answer"))
+    got = F.from_json(T.llm_json(F.col("answer")), "k long, event_label string")
+    return e.select("event_id", got["k"].alias("n"), F.coalesce(got["event_label"], F.lit("Unknown Event")).alias("label"))
 
 
-@query("select conv_id, turn, 5.5::double as seconds from conversations")
+@query("select conv_id, turn, case when turn % 3 < 2 then turn + 0.5 end::double as seconds from conversations")
 def retry_after_parse(spark, sf):
-    said = F.concat(F.coalesce(F.substring("text", 1, 0), F.lit("")), F.lit("rate limit, try again in 5.5s"))
+    wait = F.concat(F.lit(" Rate limit reached, try again in "), F.col("turn").cast("string"), F.lit(".5s."))
+    said = F.concat(F.coalesce("text", F.lit("")), F.when(F.col("turn") % 3 < 2, wait).otherwise(F.lit(" Done.")))
     return B.table(spark, sf, "conversations").select("conv_id", "turn", T.retry_after(said).alias("seconds"))
 
 
@@ -291,11 +293,11 @@ def rule_ner_mentions(spark, sf):
     return B.mentions(spark, sf).groupBy("article_id", "text").agg(F.count("*").alias("n"))
 
 
-@query("select count(*) as n, count(*) as same from (select unnest(regexp_extract_all(text, '[A-Z][a-z]+')) from documents where text is not null)")
+@query("select article_id, count(*) as n, count(*) as same, sum(length(text))::bigint as chars from (select doc_id as article_id, unnest(regexp_extract_all(text, '[A-Z][a-z]+')) as text from documents where text is not null) group by 1")
 def mention_spans(spark, sf):
     m = B.mentions(spark, sf).join(B.articles(spark, sf).select(F.col("id").alias("article_id"), "content"), "article_id")
     same = F.col("content").substr(F.col("span_start") + 1, F.col("span_end") - F.col("span_start")) == F.col("text")
-    return m.agg(F.count("*").alias("n"), F.count_if(same).alias("same"))
+    return m.groupBy("article_id").agg(F.count("*").alias("n"), F.count_if(same).alias("same"), F.sum(F.col("span_end") - F.col("span_start")).cast("long").alias("chars"))
 
 
 @query(f"select text, count(*) as mention_count, count(distinct article_id) as article_count from {MEN} group by text")
@@ -303,10 +305,13 @@ def mention_counts(spark, sf):
     return entities.mention_counts(B.mentions(spark, sf))
 
 
-@query("select event_type, case event_type when 'click' then 'Unknown' else 'Unknown' end as mapped, 'Organization' as norp from (select distinct event_type from events)")
+LABELS = [*T.TAGGER_TYPES, "none of them"]
+
+
+@query(f"select mapped, count(*) as n from (select case event_id % {len(LABELS)} {' '.join(f"when {k} then '{T.TAGGER_TYPES.get(x, 'Unknown')}'" for k, x in enumerate(LABELS))} end as mapped from events) group by 1")
 def spacy_label_map(spark, sf):
-    e = B.table(spark, sf, "events").select("event_type").distinct()
-    return e.select("event_type", T.tagger_type(F.col("event_type")).alias("mapped"), T.tagger_type(F.lit("NORP")).alias("norp"))
+    label = F.element_at(F.array(*[F.lit(x) for x in LABELS]), (F.col("event_id") % len(LABELS) + 1).cast("int"))
+    return B.table(spark, sf, "events").select(T.tagger_type(label).alias("mapped")).groupBy("mapped").agg(F.count("*").alias("n"))
 
 
 @query()
@@ -350,10 +355,11 @@ def entity_resolution(spark, sf):
 # Taxonomies.
 
 
-@query(f"select query_id, type_id from (select a.vec_id as query_id, b.vec_id as type_id, row_number() over (partition by a.vec_id order by round({COS}, 9) desc, b.vec_id) as k from embeddings a cross join embeddings b where b.vec_id < 20 and {COS} > 0.1) where k = 1")
+@query(f"select query_id, type_id from (select a.vec_id as query_id, b.vec_id as type_id, row_number() over (partition by a.vec_id order by round({COS}, 9) desc, b.vec_id) as k from embeddings a cross join (select * from embeddings where vec_id in (select min(vec_id) from embeddings group by label)) b where {COS} > 0.1) where k = 1")
 def nearest_type(spark, sf):
     v = _vectors(spark, sf)
-    return similarity.nearest_type(v, v.where("id < 20").select(F.col("id").alias("type_id"), "vector"), 0.1).select("query_id", "type_id")
+    first = B.table(spark, sf, "embeddings").groupBy("label").agg(F.min("vec_id").alias("type_id")).select("type_id")  # a type for each label
+    return similarity.nearest_type(v, v.withColumnRenamed("id", "type_id").join(first, "type_id").select("type_id", "vector"), 0.1).select("query_id", "type_id")
 
 
 @query(f"select type_name from {TYP} order by mention_count desc, type_name limit 10")
@@ -423,16 +429,16 @@ def relation_knn_merge(spark, sf):
 
 @query()
 def relation_clusters(spark, sf):
-    r = _relations(spark, sf).where("relation_id <= 300")
+    r = _relations(spark, sf).groupBy("relation_canonical").agg(F.min("relation_id").alias("relation_id"), F.sum("usage_count").alias("usage_count"))  # the distinct phrases
     return taxonomy.cluster_relations(r.join(vectors.hashed_embedding(r, "relation_id", "relation_canonical").withColumnRenamed("id", "relation_id"), "relation_id"))
 
 
 # Answers and the graph.
 
 
-@query(f"select count(*) as events, count(*) as parsed from {ART} where temporal_window = '2024-W01'")
+@query(f"select count(*) as events, count(*) as parsed from {ART}")
 def relation_extraction(spark, sf):
-    e = B.articles(spark, sf).where("temporal_window = '2024-W01'").select(F.col("id").cast("string").alias("event_id"), F.col("content").alias("context"))
+    e = B.articles(spark, sf).select(F.col("id").cast("string").alias("event_id"), F.col("content").alias("context"))
     return answers.parse_answers(answers.extract(e)).agg(F.count("*").alias("events"), F.count_if("parsed").alias("parsed"))
 
 

@@ -12,12 +12,27 @@ from graphloom.functions import text as T
 
 # Approved media domains by category.
 MEDIA = {
-    "global_news": "bbc.co.uk bbc.com cnn.com nbcnews.com abcnews.go.com cbsnews.com nytimes.com washingtonpost.com usatoday.com latimes.com aljazeera.com france24.com dw.com euronews.com trtworld.com apnews.com reuters.com".split(),
-    "finance_business": "bloomberg.com economictimes.indiatimes.com business-standard.com thehindubusinessline.com investopedia.com spglobal.com financialtimes.com wsj.com marketwatch.com cnbc.com fortune.com forbes.com moneycontrol.com businessinsider.com".split(),
-    "energy_commodities": "oilprice.com world-nuclear-news.org energyintel.com commodities-insights.spglobal.com tradewindsnews.com shippingwatch.com gcaptain.com metalbulletin.com mining.com fastmarkets.com".split(),
-    "india": "thehindu.com hindustantimes.com indiatoday.in ndtv.com timesofindia.indiatimes.com indianexpress.com".split(),
-    "china": "chinadaily.com.cn scmp.com globaltimes.cn".split(),
-    "defense_security": "defensenews.com janes.com aviationweek.com flightglobal.com foreignpolicy.com politico.com axios.com".split(),
+    "global_news": [
+        "bbc.co.uk", "bbc.com", "cnn.com", "nbcnews.com", "abcnews.go.com", "cbsnews.com", "nytimes.com", "washingtonpost.com", "usatoday.com", "latimes.com",
+        "aljazeera.com", "france24.com", "dw.com", "euronews.com", "trtworld.com", "apnews.com", "reuters.com",
+    ],
+    "finance_business": [
+        "bloomberg.com", "economictimes.indiatimes.com", "business-standard.com", "thehindubusinessline.com", "investopedia.com", "spglobal.com",
+        "financialtimes.com", "wsj.com", "marketwatch.com", "cnbc.com", "fortune.com", "forbes.com", "moneycontrol.com", "businessinsider.com",
+    ],
+    "energy_commodities": [
+        "oilprice.com", "world-nuclear-news.org", "energyintel.com", "commodities-insights.spglobal.com", "tradewindsnews.com", "shippingwatch.com",
+        "gcaptain.com", "metalbulletin.com", "mining.com", "fastmarkets.com",
+    ],
+    "india": [
+        "thehindu.com", "hindustantimes.com", "indiatoday.in", "ndtv.com", "timesofindia.indiatimes.com", "indianexpress.com",
+    ],
+    "china": [
+        "chinadaily.com.cn", "scmp.com", "globaltimes.cn",
+    ],
+    "defense_security": [
+        "defensenews.com", "janes.com", "aviationweek.com", "flightglobal.com", "foreignpolicy.com", "politico.com", "axios.com",
+    ],
 }
 DOMAINS_A_QUERY = 5
 
