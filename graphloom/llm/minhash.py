@@ -133,12 +133,12 @@ def _fits(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
 
 
 def ordered_neighbours(members: DataFrame, least: float, percent: int) -> DataFrame:
-    """Candidates a, b, est of each tree's sorted order, a few for each document, and centres.
+    """Candidates a, b, est, centre of each tree's sorted order, a few for each document.
 
     A document meets those next to it in the order, with which it has the longest common prefix
     however deep its region is, and the centre of its stretch of the region: the one closest to the
-    stretch's middle values, which in a group of edits is the original or near it. Rows with a = b
-    are centres of stretches that are not whole regions, with their score as est.
+    stretch's middle values, which in a group of edits is the original or near it (centre = 1). Rows
+    with a = b are centres of stretches that are not whole regions, with their score as est.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -161,15 +161,16 @@ def ordered_neighbours(members: DataFrame, least: float, percent: int) -> DataFr
                     if z - a < whole[a]:
                         heads.append(a + c)
                         score.append(float(near[c]))
+            centre = np.repeat([0] + [1] * (len(found) - 1), [len(x[0]) for x in found])
             i, j, est = (np.concatenate(x) for x in zip(*found, strict=True))
             good = (rep[i] != rep[j]) & (est >= least) & _fits(n[i], n[j], percent)
-            i, j, est = i[good], j[good], est[good]
-            pairs = pd.DataFrame({"region": region[i], "a": np.minimum(rep[i], rep[j]), "b": np.maximum(rep[i], rep[j]), "est": est})
-            yield pd.concat([pairs, pd.DataFrame({"region": region[heads], "a": rep[heads], "b": rep[heads], "est": score})]) if heads else pairs
+            i, j, est, centre = i[good], j[good], est[good], centre[good]
+            pairs = pd.DataFrame({"region": region[i], "a": np.minimum(rep[i], rep[j]), "b": np.maximum(rep[i], rep[j]), "est": est, "centre": centre})
+            yield pd.concat([pairs, pd.DataFrame({"region": region[heads], "a": rep[heads], "b": rep[heads], "est": score, "centre": 1})]) if heads else pairs
 
     n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = members.repartitionByRange(n, "region", "key", "rep").sortWithinPartitions("region", "key", "rep")
-    return order.mapInPandas(run, "region long, a long, b long, est double")
+    return order.mapInPandas(run, "region long, a long, b long, est double, centre int")
 
 
 def centre_pairs(members: DataFrame, heads: DataFrame, least: float, percent: int) -> DataFrame:
@@ -188,16 +189,16 @@ def centre_pairs(members: DataFrame, heads: DataFrame, least: float, percent: in
 
 
 def candidates(members: DataFrame, least: float, percent: int) -> DataFrame:
-    """own, other, est, both ways: candidates of all orders, whose number grows with that of documents."""
+    """own, other, est, centre, both ways: candidates of all orders, whose number grows with that of documents."""
     near = materialize(ordered_neighbours(members, least, percent), "neighbours")
-    pairs = near.where("a <> b").select("a", "b", "est")
+    pairs = near.where("a <> b").select("a", "b", "est", "centre")
     # Regions of several stretches get one centre more, the best of theirs.
     heads = near.where("a = b").groupBy("region").agg(F.max(F.struct("est", (-F.col("a")).alias("low"))).alias("top"), F.count("*").alias("n")).where("n > 1")
     heads = materialize(heads.select("region", (-F.col("top.low")).alias("head")), "heads")
     if heads.limit(1).count():
-        pairs = pairs.union(centre_pairs(members, heads, least, percent))
-    pairs = materialize(pairs.distinct(), "candidates")
-    return pairs.selectExpr("a as own", "b as other", "est").union(pairs.selectExpr("b", "a", "est"))
+        pairs = pairs.union(centre_pairs(members, heads, least, percent).withColumn("centre", F.lit(1)))
+    pairs = materialize(pairs.groupBy("a", "b").agg(F.max("est").alias("est"), F.max("centre").alias("centre")), "candidates")
+    return pairs.selectExpr("a as own", "b as other", "est", "centre").union(pairs.selectExpr("b", "a", "est", "centre"))
 
 
 def unsettled(members: DataFrame, parts: DataFrame, picks: list[DataFrame], least: float, percent: int, block_rows: int) -> DataFrame:
@@ -349,25 +350,24 @@ def near_texts(
     members = materialize(regions(classes, trees, depth, shallow), "regions")
     near = candidates(members, least, percent)
 
-    # Each document with its likeliest candidate, then each part with its likeliest one of another part.
+    # Each document with its likeliest candidate and its likeliest centre, then each part with its likeliest one of another part.
     best = F.max(F.struct("est", (-F.col("other")).alias("other"), (-F.col("own")).alias("own"))).alias("best")
-    chosen = lambda df, by: df.groupBy(by).agg(best).select((-F.col("best.own")).alias("own"), (-F.col("best.other")).alias("other"))
+    chosen = lambda df, by: materialize(df.groupBy(by).agg(best).select((-F.col("best.own")).alias("own"), (-F.col("best.other")).alias("other")), "picks")
     pairs = lambda df: materialize(df.select(F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b")).distinct(), "pairs")
-    picks = [materialize(chosen(near, "own"), "picks")]
-    links = confirm(pairs(picks[0]), docs, shingle, percent, repeats)
-    parts = materialize(connected_components(links, "a", "b"), "parts")
-    left = near.join(picks[0].union(picks[0].select("other", "own")).distinct(), ["own", "other"], "left_anti")
+    picks = [chosen(near, "own"), chosen(near.where("centre = 1"), "own")]
+    tried = pairs(picks[0].union(picks[1]))
+    parts = materialize(connected_components(confirm(tried, docs, shingle, percent, repeats), "a", "b"), "parts")
+    left = near.join(tried.select("a", "b").union(tried.select("b", "a")).toDF("own", "other"), ["own", "other"], "left_anti")
     for side in ("own", "other"):
         left = left.join(parts.select(F.col("node").alias(side), F.col("component").alias(f"part_{side}")), side, "left").withColumn(f"part_{side}", F.coalesce(f"part_{side}", side))
-    picks.append(materialize(chosen(left.where("part_own <> part_other"), "part_own"), "picks"))
-    more = confirm(pairs(picks[1]), docs, shingle, percent, repeats)
-    parts = _joined(parts, more)
+    picks.append(chosen(left.where("part_own <> part_other"), "part_own"))
+    more = pairs(picks[2])
+    parts = _joined(parts, confirm(more, docs, shingle, percent, repeats))
 
     # What regions still leave open is decided by rare shingles.
     still = materialize(unsettled(members, parts, picks, least, percent, block_rows), "unsettled")
     if still.limit(1).count():
-        tried = pairs(picks[0].union(picks[1]))
-        rest = materialize(rare_shingle_pairs(docs, still, parts, shingle, percent).join(tried, ["a", "b"], "left_anti"), "rest")
+        rest = materialize(rare_shingle_pairs(docs, still, parts, shingle, percent).join(tried.union(more), ["a", "b"], "left_anti"), "rest")
         parts = _joined(parts, confirm(rest, docs, shingle, percent, repeats))
 
     told = classes.join(parts, F.col("rep") == F.col("node"), "left").where("n > 1 or component is not null")
