@@ -251,13 +251,13 @@ def _with_end(batches):
     yield None
 
 
-def rare_shingle_pairs(docs: DataFrame, reps: DataFrame, parts: DataFrame, shingle: int, percent: int, cells: int = 1 << 18) -> DataFrame:
-    """Pairs a < b of other parts that may be linked, every linked pair of ``reps`` among them.
+def rare_shingle_lists(docs: DataFrame, reps: DataFrame, shingle: int, percent: int, cells: int = 1 << 18) -> DataFrame:
+    """list, rep, n, at: lists of those ``reps`` that share shingles among their rarest; linked ones meet in a list.
 
     Sets are put in one order for all, rare shingles first. Two sets that link share a shingle
-    among the first ones of both, so far as their sizes ask for, and what is left after the shared
-    one must suffice. How rare a shingle is, is told by counts in ``cells`` cells, the size of what
-    is broadcast; a coarse count makes more candidates and loses none.
+    among the first ones of both, so far as their sizes ask for. How rare a shingle is, is told by
+    counts in ``cells`` cells, the size of what is broadcast; a coarse count makes longer lists and
+    loses none. Shingles of the same documents are one list, at the first place that each gives one.
     """
     asked = may_hold(reps, "rep", reps.count())
     own = asked(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), "doc_id").where("asked").drop("asked")
@@ -289,14 +289,26 @@ def rare_shingle_pairs(docs: DataFrame, reps: DataFrame, parts: DataFrame, shing
             yield pd.DataFrame(rows, columns=["rep", "n", "shingles", "places"])
 
     firsts = own.mapInPandas(first, "rep long, n long, shingles array<long>, places array<int>")
-    firsts = materialize(firsts.join(parts, F.col("rep") == F.col("node"), "left").select("rep", "n", F.coalesce("component", "rep").alias("part"), "shingles", "places"), "first-shingles")
-    lists = firsts.withColumn("x", F.explode(F.arrays_zip("shingles", "places"))).select(F.col("x.shingles").alias("shingle"), F.col("x.places").alias("at"), "rep", "n", "part")
+    firsts = materialize(firsts.join(reps.select("rep"), "rep", "left_semi"), "first-shingles")  # the bitmap lets others through
+    flat = firsts.withColumn("x", F.explode(F.arrays_zip("shingles", "places"))).select(F.col("x.shingles").alias("shingle"), F.col("x.places").alias("at"), "rep", "n")
+    # Lists whose keys fall together by chance are one longer list, which loses no pair.
+    key = F.xxhash64(F.count("*"), F.bit_xor(F.xxhash64("rep")), F.bit_xor(F.xxhash64(F.lit(1), "rep")))
+    shared = flat.groupBy("shingle").agg(key.alias("list"), F.count("*").alias("rows")).where("rows > 1").select("shingle", "list")
+    return materialize(flat.join(shared, "shingle").groupBy("list", "rep", "n").agg(F.min("at").alias("at")), "lists")
+
+
+def list_pairs(lists: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+    """Pairs a < b of other parts that may be linked, every linked pair of the lists among them.
+
+    What is left of two sets after a shared shingle must suffice for the similarity.
+    """
+    named = lists.join(parts, F.col("rep") == F.col("node"), "left").withColumn("part", F.coalesce("component", "rep")).drop("node", "component")
     indexed = F.expr(f"at <= n + floor(-{2 * percent} * n / {100 + percent})")
-    live = lists.groupBy("shingle").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.max(indexed).alias("any")).where("low <> high and any").select("shingle")
-    lists = materialize(lists.join(live, "shingle", "left_semi"), "shared-shingles")
-    x, y = lists.alias("x"), lists.where(indexed).alias("y")
+    live = named.groupBy("list").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.max(indexed).alias("any")).where("low <> high and any").select("list")
+    named = materialize(named.join(live, "list", "left_semi"), "live-lists")
+    x, y = named.alias("x"), named.where(indexed).alias("y")
     meet = x.join(y, F.expr(
-        f"""x.shingle = y.shingle and x.part <> y.part and (y.n < x.n or y.n = x.n and y.rep < x.rep) and 100 * y.n >= {percent} * x.n
+        f"""x.list = y.list and x.part <> y.part and (y.n < x.n or y.n = x.n and y.rep < x.rep) and 100 * y.n >= {percent} * x.n
         and {100 + percent} * least(x.n - x.at, y.n - y.at) >= {percent} * (x.n + y.n)"""
     ))
     return meet.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).where("a <> b").distinct()
@@ -367,7 +379,8 @@ def near_texts(
     # What regions still leave open is decided by rare shingles.
     still = materialize(unsettled(members, parts, picks, least, percent, block_rows), "unsettled")
     if still.limit(1).count():
-        rest = materialize(rare_shingle_pairs(docs, still, parts, shingle, percent).join(tried.union(more), ["a", "b"], "left_anti"), "rest")
+        lists = rare_shingle_lists(docs, still, shingle, percent)
+        rest = materialize(list_pairs(lists, parts, percent).join(tried.union(more), ["a", "b"], "left_anti"), "rest")
         parts = _joined(parts, confirm(rest, docs, shingle, percent, repeats))
 
     told = classes.join(parts, F.col("rep") == F.col("node"), "left").where("n > 1 or component is not null")
