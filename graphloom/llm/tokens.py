@@ -18,6 +18,8 @@ import numpy as np
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 SHORT = "'s|'t|'re|'ve|'m|'ll|'d"
 PLAIN = bytes([10, *range(32, 127), *range(0xC0, 0xD7), *range(0xD8, 0xF7), *range(0xF8, 0x100)])
+#: Longer pieces are encoded anew each time, so that the number of those kept bounds their size.
+LONGEST = 64
 GAPS = (b"  ", b" \n", b"\n ", b"\n\n")
 PIECES = {
     "word": re.compile(rf"{SHORT}|[{LETTERS}]+|[0-9]|[^\s{LETTERS}0-9]+"),
@@ -43,27 +45,12 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(256 + k) for k, b in enumerate(rest)}
 
 
-class Remembered(dict):
-    """Encoded pieces by their text. What is asked for and missing is learned."""
-
-    def __init__(self, model, letters: dict[int, str], old: dict[str, bytes]):
-        self.tokenize, self.letters, self.old = model.tokenize, letters, old
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = self.old.get(piece)
-        if ids is None:
-            spelled = piece if piece.isascii() and piece.isalnum() else "".join(map(self.letters.__getitem__, piece.encode()))
-            ids = array("I", [t.id for t in self.tokenize(spelled)]).tobytes()
-        self[piece] = ids
-        return ids
-
-
-class Encoder:
-    """ids of texts, as little-endian unsigned 32-bit bytes.
+class Encoder(dict):
+    """ids of texts, as little-endian unsigned 32-bit bytes. It remembers pieces as a dictionary.
 
     path: a tokenizer file of byte-level kind (kind="byte") or word kind (kind="word": lower
     case, white space dropped). remember: how many pieces are kept, about, in two generations, of
-    which the older goes; this bounds memory and changes no result.
+    which the older goes; this bounds memory and changes no result. Long pieces are not kept.
     """
 
     def __init__(self, path: str, kind: str, remember: int = 1_000_000):
@@ -74,8 +61,21 @@ class Encoder:
         added = self.whole.get_added_tokens_decoder().values()
         self.added = [t.content for t in added]
         self.folds = any(t.normalized for t in added)  # then what a text is normalized to may hold one, too
-        self.kind, self.remember = kind, remember
-        self.known = Remembered(self.whole.model, _byte_letters(), {})
+        self.kind, self.most, self.older = kind, remember // 2, {}
+        self.letters, self.tokenize, self.cut = _byte_letters(), self.whole.model.tokenize, PIECES[kind].findall
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.older.get(piece)
+        if ids is None:
+            if piece.isascii():  # all but the white space of a plain text stands for itself
+                spelled = piece.replace(" ", self.letters[32]).replace("\n", self.letters[10])
+            else:
+                spelled = "".join(map(self.letters.__getitem__, piece.encode()))
+            told = self.tokenize(spelled)
+            ids = told[0].id.to_bytes(4, "little") if len(told) == 1 else array("I", [t.id for t in told]).tobytes()
+        if len(piece) <= LONGEST:
+            self[piece] = ids
+        return ids
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """One bytes object for each text; null counts as empty."""
@@ -84,6 +84,7 @@ class Encoder:
     def encode_one(self, text: str) -> bytes:
         if not _plain(text, self.kind) or self.folds or any(a in text for a in self.added):
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(self.known) > self.remember // 2:
-            self.known = Remembered(self.whole.model, self.known.letters, dict(self.known))
-        return b"".join(map(self.known.__getitem__, PIECES[self.kind].findall(text.lower() if self.kind == "word" else text)))
+        if len(self) > self.most:
+            self.older = dict(self)
+            self.clear()
+        return b"".join(map(self.__getitem__, self.cut(text.lower() if self.kind == "word" else text)))
