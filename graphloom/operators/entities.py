@@ -66,8 +66,12 @@ def resolve(mentions: DataFrame, state: DataFrame, dim: int = 64, least: float =
     mentions: text, ord. state: canonical_name, aliases. Rounds: an exact name or alias, then fused
     candidates among state, then the rest of the batch among itself in order of first appearance,
     replayed in blocks of texts near enough to match, so that each text meets all earlier ones it could match.
+    Where both tables have entity_type, a text whose first mention has a known type meets vectors of
+    that type only; one of type ``Unknown`` or null meets those of all types.
     """
-    seen = mentions.withColumn("mention_key", strip(F.col("text"))).where("mention_key <> ''").groupBy("mention_key").agg(F.min("ord").alias("ord"))
+    kind = F.coalesce("entity_type", F.lit("Unknown")) if {"entity_type"} <= set(mentions.columns) & set(state.columns) else F.lit("Unknown")
+    seen = mentions.select(strip(F.col("text")).alias("mention_key"), "ord", kind.alias("entity_type")).where("mention_key <> ''")
+    seen = seen.groupBy("mention_key").agg(F.min("ord").alias("ord"), F.min_by("entity_type", F.struct("ord", "entity_type")).alias("entity_type"))
     seen = materialize(seen.withColumn("norm", normalize_entity(F.col("mention_key"))), "mention-keys")
     names = state.select("canonical_name", F.explode(F.array_union(F.array("canonical_name"), F.coalesce("aliases", F.array().cast("array<string>")))).alias("alias"))
     names = materialize(names, "aliases")
@@ -76,9 +80,11 @@ def resolve(mentions: DataFrame, state: DataFrame, dim: int = 64, least: float =
     pool = names.select(F.col("canonical_name").alias("canonical_id"), F.lower("alias").alias("alias_norm"))
     fuzzy = fuzzy_join(rest, pool, "norm", "alias_norm", ratio).groupBy(F.col("left_key").alias("norm"), "canonical_id").agg((F.max("ratio") / 100).alias("ratio"))
     fuzzy = rest.select("mention_key", "norm").join(fuzzy, "norm").select(F.col("mention_key").alias("mention"), "canonical_id", "ratio")
-    vec = hashed_embedding(rest, "mention_key", "norm", dim)
-    vstate = hashed_embedding(state.select("canonical_name"), "canonical_name", "canonical_name", dim)
-    semantic = nearest(vec, vstate, 5).select(F.col("id1").alias("mention"), F.col("id2").alias("canonical_id"), l2sq_similarity(F.col("cos")).alias("similarity"), "rank")
+    vec = hashed_embedding(rest, "mention_key", "norm", dim).join(rest.select(F.col("mention_key").alias("id"), "entity_type"), "id")
+    vstate = hashed_embedding(state.select("canonical_name"), "canonical_name", "canonical_name", dim).join(state.select(F.col("canonical_name").alias("id"), kind.alias("entity_type")), "id")
+    vec, vstate = materialize(vec, "mention-vectors"), materialize(vstate, "entity-vectors")
+    near = nearest(vec.where("entity_type <> 'Unknown'"), vstate, 5, "entity_type").union(nearest(vec.where("entity_type = 'Unknown'"), vstate, 5))
+    semantic = near.select(F.col("id1").alias("mention"), F.col("id2").alias("canonical_id"), l2sq_similarity(F.col("cos")).alias("similarity"), "rank")
     fused = materialize(fuse_scores(fuzzy, semantic, least, weight), "fused")
     fresh = materialize(rest.join(fused.select(F.col("mention").alias("mention_key")), "mention_key", "left_anti"), "fresh")
     return (
@@ -115,17 +121,17 @@ def _within_batch(fresh: DataFrame, dim: int, least: float, ratio: float, weight
     same = F.when(F.exists("vector", lambda x: x != 0), F.xxhash64("vector")).otherwise(F.col("id"))
     vec = materialize(vec.withColumn("v", same), "batch-vectors")  # equal vectors are compared once
     blocks = connected_components(_alike(vec.groupBy("v").agg(F.first("vector").alias("vector")), (1 + bound) / 2 - 1e-6 if bound > 0 else -2.0))
-    rows = numbered.join(vec, numbered["k"] == vec["id"]).join(blocks, F.col("v") == F.col("node"), "left").select("mention_key", "norm", "ord", "vector", F.coalesce("component", "v").alias("block"))
+    rows = numbered.join(vec, numbered["k"] == vec["id"]).join(blocks, F.col("v") == F.col("node"), "left").select("mention_key", "norm", "ord", "vector", "entity_type", F.coalesce("component", "v").alias("block"))
 
     def replay(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["ord", "mention_key"], kind="stable")
-        names: list[tuple[str, str, np.ndarray]] = []
+        names: list[tuple[str, str, np.ndarray, str]] = []
         out = []
-        for key, norm, v in zip(group["mention_key"], group["norm"], group["vector"], strict=True):
+        for key, norm, v, kind in zip(group["mention_key"], group["norm"], group["vector"], group["entity_type"], strict=True):
             v = np.asarray(v, np.float64)
             best, score = None, least
-            for name, other, u in names:
-                sem = max(0.0, 2 * float(u @ v) - 1)
+            for name, other, u, its in names:
+                sem = max(0.0, 2 * float(u @ v) - 1) if kind in ("Unknown", its) else 0.0
                 if max(sem, weight + (1 - weight) * sem) <= score:
                     continue
                 fz = indel_ratio(" ".join(sorted(norm.split())), " ".join(sorted(other.split())))
@@ -133,7 +139,7 @@ def _within_batch(fresh: DataFrame, dim: int, least: float, ratio: float, weight
                 if total > score:
                     best, score = name, total
             if best is None:
-                names.append((key, norm, v))
+                names.append((key, norm, v, kind))
             out.append((key, best or key, best is None, score if best else 1.0))
         return pd.DataFrame(out, columns=["mention_key", "canonical_name", "is_new", "score"])
 

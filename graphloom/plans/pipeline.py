@@ -10,6 +10,7 @@ from dataclasses import asdict
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from graphloom import schema
 from graphloom.config import Settings
 from graphloom.functions.vectors import hashed_embedding
 from graphloom.operators import answers, clustering, entities, events, graph, similarity, taxonomy
@@ -17,16 +18,26 @@ from graphloom.plans.models import embed_articles
 from graphloom.sources import articles as A
 from graphloom.sources import sinks
 from graphloom.sources.taxonomy import seed_types
+from graphloom.storage import materialize
 
 STAGES = ("articles", "mentions", "entities", "vectors", "pairs", "members", "events", "triples", "edges", "nodes")
 
 
 class Run:
-    """Stages write below ``out``; a stage before ``from_stage`` is read as it stands."""
+    """Stages write below ``out``; a stage before ``from_stage`` is read as it stands.
 
-    def __init__(self, spark: SparkSession, folder: str, out: str, now: str, settings: Settings = Settings(), from_stage: str = "articles", skip_llm: bool = False, client: Callable[[str], str] = answers.rule_answer):
+    previous: the ``out`` of an earlier run, another folder. Its articles, mentions, entities and
+    vectors are carried over: only urls that it lacks are read, tagged, resolved and embedded, and
+    the entity table is merged. Pairs, clusters and all that follows are made of old and new
+    articles together, so that late articles join the clusters of their week.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, out: str, now: str, settings: Settings = Settings(), from_stage: str = "articles", skip_llm: bool = False, client: Callable[[str], str] = answers.rule_answer, previous: str = ""):
         self.spark, self.folder, self.out, self.now, self.settings = spark, folder, out.rstrip("/"), now, settings
         self.first, self.skip_llm, self.client = STAGES.index(from_stage), skip_llm, client
+        self.previous = previous.rstrip("/")
+        if self.previous == self.out:
+            raise ValueError("a run cannot carry over the folder that it writes")
 
     def path(self, name: str) -> str:
         return f"{self.out}/{name}"
@@ -36,15 +47,30 @@ class Run:
             make().write.mode("overwrite").parquet(self.path(name))
         return self.spark.read.parquet(self.path(name))
 
-    def run(self) -> dict[str, DataFrame]:
+    def stored(self, name: str, schema: str) -> DataFrame:
+        """A table of the previous run; without one, an empty table of this schema."""
+        return self.spark.read.parquet(f"{self.previous}/{name}") if self.previous else self.spark.createDataFrame([], schema)
+
+    def grown(self, name: str, new: DataFrame) -> DataFrame:
+        return self.stored(name, "").unionByName(new) if self.previous else new
+
+    def gather(self) -> dict[str, DataFrame]:
+        """The tables that grow from run to run: articles, mentions, entities, vectors."""
         s, t = self.settings, {}
         raw, _ = A.scan_json(self.spark, self.folder)
-        none = self.spark.createDataFrame([], "url string")
-        t["articles"] = self.stage("articles", lambda: events.weekly(A.new_by_url(A.parse_articles(raw, self.now), none, ["id", "title", "content"])))
+        stored = self.stored("articles", "id string, url string")
+        t["articles"] = self.stage("articles", lambda: self.grown("articles", events.weekly(A.new_by_url(A.parse_articles(raw, self.now), stored, ["id", "title", "content"]))))
+        arts = t["articles"]
+        new = arts.join(stored.select("id"), "id", "left_anti").select(arts.columns)
+        t["mentions"] = self.stage("mentions", lambda: self.grown("mentions", entities.rule_mentions(new)))
+        told = t["mentions"].join(stored.select(F.col("id").alias("article_id")), "article_id", "left_anti")
+        t["entities"] = self.stage("entities", self.entities(told))
+        t["vectors"] = self.stage("vectors", lambda: self.grown("vectors", embed_articles(new, None, s.embedding_dim, s.content_chars)))
+        return t
+
+    def run(self) -> dict[str, DataFrame]:
+        s, t = self.settings, self.gather()
         arts = t["articles"]
-        t["mentions"] = self.stage("mentions", lambda: entities.rule_mentions(arts))
-        t["entities"] = self.stage("entities", self.entities(t["mentions"]))
-        t["vectors"] = self.stage("vectors", lambda: embed_articles(arts, None, s.embedding_dim, s.content_chars))
         t["pairs"] = self.stage("pairs", lambda: similarity.duplicate_pairs(t["vectors"], t["vectors"], s.duplicate_neighbours, s.duplicate_similarity))
         t["members"] = self.stage("members", self.members(arts, t["vectors"], t["pairs"]))
         t["events"] = self.stage("events", lambda: events.build_events(t["members"], arts, s.representatives, s.excerpt_chars))
@@ -55,15 +81,12 @@ class Run:
 
     def entities(self, mentions: DataFrame) -> Callable[[], DataFrame]:
         def make():
-            state = self.spark.createDataFrame([], "canonical_name string, aliases array<string>")
-            found = entities.resolve(mentions.withColumn("ord", F.col("article_id")), state, self.settings.embedding_dim, self.settings.entity_similarity, self.settings.fuzzy_ratio, self.settings.fuzzy_weight)
-            told = mentions.join(found, mentions["text"] == found["mention_key"])
-            names = entities.accumulate_aliases(told)
-            counts = told.groupBy("canonical_name").agg(F.count("*").alias("mention_count"), F.max("entity_type").alias("entity_type"))
-            vec = hashed_embedding(names, "canonical_name", "canonical_name", self.settings.embedding_dim).select(F.col("id").alias("canonical_name"), F.col("vector").alias("embedding_vector"))
-            out = names.join(counts, "canonical_name").join(vec, "canonical_name")
-            seen = F.lit(self.now).cast("timestamp")
-            return out.select(F.sha2("canonical_name", 256).alias("canonical_id"), "canonical_name", "entity_type", "aliases", "mention_count", seen.alias("first_seen"), seen.alias("last_seen"), "embedding_vector")
+            state = self.stored("entities", schema.ENTITY).drop("embedding_vector")
+            told = mentions.withColumn("ord", F.format_string("%s:%010d", "article_id", "span_start"))
+            found = entities.resolve(told, state, self.settings.embedding_dim, self.settings.entity_similarity, self.settings.fuzzy_ratio, self.settings.fuzzy_weight)
+            out = materialize(entities.merge_entities(state, told, found, self.now), "merged-entities")
+            vec = hashed_embedding(out, "canonical_name", "canonical_name", self.settings.embedding_dim).select(F.col("id").alias("canonical_name"), F.col("vector").alias("embedding_vector"))
+            return out.join(vec, "canonical_name").select(*state.columns, "embedding_vector")
 
         return make
 
@@ -125,7 +148,8 @@ def main(given: list[str] | None = None) -> int:
     p.add_argument("--input", default="data/raw/")
     p.add_argument("--out", default="data/out/")
     p.add_argument("--run-all", action="store_true")
-    p.add_argument("--daily", action="store_true")
+    p.add_argument("--daily", action="store_true", help="carry over the tables of --previous")
+    p.add_argument("--previous", default="", help="output folder of the run before")
     p.add_argument("--from-stage", default="articles", choices=STAGES)
     p.add_argument("--skip-llm", action="store_true")
     p.add_argument("--seed-types", default="")
@@ -136,7 +160,7 @@ def main(given: list[str] | None = None) -> int:
         return 1
     spark = SparkSession.builder.appName("graphloom").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     os.makedirs(a.out, exist_ok=True)
-    run = Run(spark, a.input, os.path.abspath(a.out), a.now, from_stage=a.from_stage, skip_llm=a.skip_llm)
+    run = Run(spark, a.input, os.path.abspath(a.out), a.now, from_stage=a.from_stage, skip_llm=a.skip_llm, previous=os.path.abspath(a.previous) if a.daily and a.previous else "")
     run.export(run.run(), a.seed_types)
     return 0
 

@@ -8,6 +8,7 @@ import random
 from collections import deque
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -178,6 +179,17 @@ def test_resolution(spark):
     assert got["Sunderland City"] == ("Sunderland City", True) and got["City Sunderland"] == ("Sunderland City", False) and got["Zebra"] == ("Zebra", True)
 
 
+def test_resolution_heeds_known_types(spark):
+    state = spark.createDataFrame([("Jordan River", [], "Location"), ("Jordan Rivers", [], "Person")], "canonical_name string, aliases array<string>, entity_type string")
+    told = [("Jordan Riverr", "Person", 1), ("River Jordan", "Location", 2), ("Rivers Jordan", "Event", 3), ("jordan  river", None, 4), ("Amber Hill", "Person", 5), ("Hill Amber", "Location", 6), ("hill amber", "Unknown", 7)]
+    mentions = spark.createDataFrame(told, "text string, entity_type string, ord long")
+    got = {r.mention_key: r for r in entities.resolve(mentions, state, least=0.6).collect()}
+    assert got["Jordan Riverr"].canonical_name in ("Jordan Rivers", "Jordan Riverr") and got["River Jordan"].canonical_name == "Jordan River"
+    assert got["Rivers Jordan"].is_new and got["jordan  river"].canonical_name == "Jordan River"
+    assert got["Amber Hill"].is_new and got["Hill Amber"].is_new and not got["hill amber"].is_new
+    assert entities.resolve(mentions.limit(0), state).count() == 0 and entities.resolve(mentions, state.limit(0)).count() == 7
+
+
 def test_taxonomies(spark):
     types = spark.createDataFrame([(1, "AI Company")], "type_id long, type_name string")
     given_ = spark.createDataFrame([("OpenAI", "announced", "AI Company"), ("Anthropic", "...", "Intelligence Firm"), ("X", "", None)], "entity_name string, context string, suggested_type string")
@@ -290,6 +302,25 @@ def test_pipeline_end_to_end(spark, tmp_path):
     assert sinks.nodes_table(t["nodes"]).where("name is null").count() == 0
 
 
+def test_two_runs_equal_one_over_both_batches(spark, tmp_path):
+    words = ["Paris", "Berlin", "Madrid", "Rome", "Oslo", "Vienna"]
+    line = lambda k: json.dumps({"title": f"{words[k % 6]} signs", "content": f"{words[k % 6]} signed trade deal with {words[(k + k // 6) % 6]}.", "url": f"u{k}", "published_at": f"2024-01-{1 + k % 20:02d}"})
+    for name, rows in (("one", range(12)), ("two", range(8, 30)), ("all", range(30))):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "a.jsonl").write_text("\n".join(map(line, rows)))
+    made = lambda name, now, previous="": Run(spark, str(tmp_path / name), str(tmp_path / f"{name}-out"), now, previous=previous).gather()
+    one, whole = made("one", "2024-02-01 00:00:00"), made("all", "2024-02-01 00:00:00")
+    two = made("two", "2024-02-02 00:00:00", str(tmp_path / "one-out"))
+    for name in ("articles", "mentions", "vectors"):
+        assert two[name].exceptAll(whole[name].select(two[name].columns)).count() == 0 and two[name].count() == whole[name].count(), name
+    told = lambda t: {r.canonical_name: (r.canonical_id, r.entity_type, r.aliases, r.mention_count) for r in t["entities"].collect()}
+    assert told(two) == told(whole) and len(told(one)) == 6
+    seen = {r.canonical_name: (r.first_seen.day, r.last_seen.day) for r in two["entities"].collect()}
+    assert set(seen.values()) == {(1, 2)}
+    with pytest.raises(ValueError):
+        made("one", "2024-02-01 00:00:00", str(tmp_path / "one-out"))
+
+
 def test_merge_entities(spark):
     state = spark.sql("select 'id1' as canonical_id, 'USA' as canonical_name, 'Unknown' as entity_type, array('America') as aliases, 2L as mention_count, timestamp '2020-01-01' as first_seen, timestamp '2020-01-01' as last_seen")
     mentions = spark.createDataFrame([("USA", "Country", 1), ("the US", "Unknown", 2), ("Modi", "Person", 3)], "text string, entity_type string, ord long")
