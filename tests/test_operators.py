@@ -145,6 +145,21 @@ def test_nearest_is_exact(spark):
     assert similarity.nearest(df.limit(0), df, 3).count() == similarity.nearest(df, df.limit(0), 3).count() == 0
 
 
+def test_nearest_of_copies_ties_and_missing_vectors(spark):
+    rng = np.random.default_rng(5)
+    x = np.concatenate([np.repeat(rng.normal(size=(3, 8)), 40, 0), rng.normal(size=(50, 8)), np.eye(8)[rng.integers(0, 8, 60)]])
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    cos = np.round(u @ u.T, 12)
+    want = {(i, int(j)) for i in range(len(u)) for j in sorted(range(len(u)), key=lambda j: (-cos[i, j], j))[:4]}
+    i, j, c = similarity.top_pairs(u, u, 4, tile=32, chunk=16)
+    assert {*zip(i.tolist(), j.tolist(), strict=True)} == want and np.allclose(c, cos[i, j])
+    rows = [(k, v.tolist()) for k, v in enumerate(x)] + [(900, None), (901, [float("nan")] * 8), (902, [None] * 8)]
+    df = spark.createDataFrame(rows, "id long, vector array<double>")
+    assert {(r.id1, r.id2) for r in similarity.nearest(df, df, 4, block=64).collect()} == want
+    high = {(r.id1, r.id2) for r in similarity.nearest(df, df, 4, least=0.5).collect()}
+    assert high == {(i, j) for i, j in want if cos[i, j] >= 0.5}
+
+
 def test_duplicate_modes(spark):
     pairs = spark.createDataFrame([(1, 2, 0.99, 1), (2, 1, 0.99, 1), (2, 3, 0.98, 2), (3, 2, 0.98, 1)], "id1 long, id2 long, similarity double, rank int")
     rows = spark.createDataFrame([(k,) for k in range(1, 5)], "id long")
