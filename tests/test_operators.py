@@ -178,6 +178,23 @@ def test_hdbscan_and_leaders():
     assert clustering.leaders(np.eye(3), 0.78, 2).tolist() == [0, 0, 0]
 
 
+def test_spanning_tree_of_neighbour_lists():
+    rng = np.random.default_rng(2)
+    x = similarity.unit(rng.normal(size=(12, 8))[rng.integers(0, 12, 400)] + 0.3 * rng.normal(size=(400, 8)))
+    for k in (2, 5, 16):
+        i, j, _ = similarity.top_pairs(x, x, k)
+        assert np.array_equal(clustering.sparse_spanning_tree(x, i, j, chunk=16, tile=64), clustering.spanning_tree(x, 1))
+
+
+def test_weekly_clusters_with_copies_and_zeros_equal_the_plain_way(spark):
+    rng = np.random.default_rng(3)
+    x = np.concatenate([np.repeat(rng.normal(size=(4, 6)), 25, 0), rng.normal(size=(60, 6)), np.zeros((2, 6))]).astype(np.float32)
+    df = spark.createDataFrame([(k, "w", 7 * k % 199, v.tolist()) for k, v in enumerate(x)], "id long, temporal_window string, ord long, vector array<float>")
+    order = sorted(range(len(x)), key=lambda k: (7 * k % 199, k))
+    labels = clustering.hdbscan(clustering.unit(x[order].astype(np.float64)), 2)
+    assert {(r.id, r.label) for r in clustering.cluster_windows(df).collect()} == {(k, n) for k, n in zip(order, labels.tolist(), strict=True) if n >= 0}
+
+
 def test_events(spark):
     members = spark.createDataFrame([("2024-W03", 1, k, k) for k in range(5)], "temporal_window string, cluster_id int, id long, ord long")
     arts = spark.createDataFrame([(k, f"t{k}", "c" * 400) for k in range(5)], "id long, title string, content string")
