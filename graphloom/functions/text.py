@@ -55,7 +55,9 @@ def relation_name(phrase: Column) -> Column:
 
 def iso_week(ts: Column) -> Column:
     """ISO week as YYYY-Www, by the value's own wall clock."""
-    return F.format_string("%d-W%02d", F.extract(F.lit("YEAROFWEEK"), ts), F.weekofyear(ts))
+    # Plain text functions: format_string parses its pattern for each row.
+    made = F.concat(F.extract(F.lit("YEAROFWEEK"), ts).cast("string"), F.lit("-W"), F.lpad(F.weekofyear(ts).cast("string"), 2, "0"))
+    return F.coalesce(made, F.lit("null-Wnull"))
 
 
 def tagger_type(label: Column) -> Column:

@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from graphloom.storage import materialize
+
 PART = "PARTICIPATES_IN"
 
 
@@ -91,7 +93,7 @@ def betweenness(nodes: DataFrame, edges: DataFrame, most_edges: int = 5_000_000)
     Sources are spread over tasks, each of which holds the adjacency; graphs of more than
     ``most_edges`` edges are refused, since that table is broadcast.
     """
-    links = edges.select("source", "target").where("source <> target").distinct()
+    links = materialize(edges.select("source", "target").where("source <> target").distinct(), "links")  # read several times
     total = links.count()
     if total > most_edges:
         raise ValueError(f"{total} edges; betweenness holds {most_edges} at most")

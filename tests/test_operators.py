@@ -291,6 +291,20 @@ def test_graph(spark):
     assert made.count() == 3 and graph.collapse_edges(made, ["ord", "sub"]).first().confidence == 0.9
 
 
+def test_betweenness_reads_its_edges_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(len(b))
+            yield b
+
+    rows = spark.createDataFrame([(f"n{k}", f"n{k + 1}") for k in range(20)], "source string, target string")
+    edges = rows.mapInPandas(counted, rows.schema)
+    nodes = spark.createDataFrame([(f"n{k}",) for k in range(21)], "id string")
+    assert graph.betweenness(nodes, edges).count() == 21 and read.value == 20
+
+
 def test_models(spark):
     arts = spark.createDataFrame([("1", "t", "c one"), ("2", "t", None)], "id string, title string, content string")
 
