@@ -15,13 +15,20 @@ from graphloom.operators.similarity import nearest
 from graphloom.storage import materialize
 
 
+MENTION = "[A-Z][a-z]+"
+
+
+def mention_texts(articles: DataFrame) -> DataFrame:
+    """article_id, text of rule_mentions: without places the text between hits is not cut out."""
+    return articles.select(F.col("id").alias("article_id"), F.explode(F.regexp_extract_all("content", F.lit(MENTION), F.lit(0))).alias("text"))
+
+
 def rule_mentions(articles: DataFrame, kind: str = "Unknown", confidence: float = 0.7) -> DataFrame:
     """schema.MENTION of runs of a capital and small ASCII letters: the offline tagger.
 
     Places come from the text between hits, so that each mention has its own span.
     """
-    pattern = "[A-Z][a-z]+"
-    hits, gaps = F.regexp_extract_all("content", F.lit(pattern), F.lit(0)), F.split("content", pattern, -1)
+    hits, gaps = F.regexp_extract_all("content", F.lit(MENTION), F.lit(0)), F.split("content", MENTION, -1)
     told = articles.select(F.col("id").alias("article_id"), F.posexplode(F.arrays_zip(hits.alias("text"), F.slice(gaps, 1, F.size(hits)).alias("gap"))).alias("pos", "hit"))
     run = F.sum(F.length("hit.gap") + F.length("hit.text")).over(Window.partitionBy("article_id").orderBy("pos"))
     told = told.select("article_id", "hit.text", run.alias("span_end"))

@@ -48,6 +48,28 @@ def test_fuzzy_join_finds_all_pairs(spark):
     assert got == {(a, b) for a in names for b in names if fuzzy.indel_ratio(key(a), key(b)) > 85}
 
 
+@pytest.mark.parametrize("least", [60.0, 85.0])
+def test_fuzzy_join_by_subsequences_finds_all_pairs(spark, least):
+    rng = random.Random(2)
+    made = lambda n: "".join(rng.choice(["an", "er", "ß", "t", "oo", "𝛼"]) for _ in range(n))
+    names = sorted({made(rng.randint(1, 18)) for _ in range(140)} | {made(4) + " " + made(3) for _ in range(20)} | {""})
+    names = sorted({*names, *(n[: len(n) // 2] + n[len(n) // 2 + 1 :] for n in names[::3])})
+    left, right = names[::2] + names[1::4], names[1::2] + names[::4]  # some are on both sides
+    one, two = (spark.createDataFrame([(n,) for n in x], f"{c} string") for x, c in ((left, "name"), (right, "alias")))
+    got = {(r.left_key, r.alias): r.ratio for r in fuzzy.fuzzy_join(one, two, "name", "alias", least, 1000, block=16).collect()}
+    key = lambda n: " ".join(sorted(n.split()))
+    ratios = {(a, b): fuzzy.indel_ratio(key(a), key(b)) for a in set(left) for b in set(right) if a and b}
+    assert got == {k: r for k, r in ratios.items() if r > least}
+    assert min(map(len, names)) < fuzzy.reach(least) < max(map(len, names))
+
+
+def test_fuzzy_join_compares_only_pairs_that_pass(spark):
+    rng = random.Random(3)
+    names = sorted({"".join(rng.choice("abcdefgh") for _ in range(rng.randint(5, 14))) for _ in range(600)})
+    got = {(r.x, r.y) for r in fuzzy.candidates(spark.createDataFrame([(n, 3) for n in names], "text string, side int"), 85.0).collect()}
+    assert {frozenset(p) for p in got} == {frozenset((a, b)) for a in names for b in names if a < b and fuzzy.indel_ratio(a, b) > 85} and got
+
+
 def test_text_functions(spark):
     n = lambda s: one(spark, T.normalize_entity(F.col("s")), s=s)
     assert (n(" Dr. Smith. "), n("Prime Minister Modi"), n("Ministerial"), n("USA"), n("CEOs!")) == ("smith", "modi", "ial", "usa", "s")
