@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from graphloom.storage import materialize
+from graphloom.storage import deal, materialize
 
 
 def token_sort(c: Column) -> Column:
@@ -143,7 +143,7 @@ def candidates(texts: DataFrame, least: float) -> DataFrame:
     longer = (F.length("x") > F.length("y")) | ((F.length("x") == F.length("y")) & (F.col("x") < F.col("y")))
     meets = (F.col("key") == F.col("its")) & (k == F.col("shared")) & longer & above(k) & ~above(k - 1)
     sides = (F.col("sx").bitwiseOR(F.col("sy"))) == 3
-    return x.join(y, meets & sides).select("x", "sx", "y", "sy").distinct()
+    return deal(x.join(y, meets & sides).select("x", "sx", "y", "sy"), "x", "y").distinct()
 
 
 def _in_blocks(a: DataFrame, b: DataFrame, least: float, block: int) -> DataFrame:
@@ -161,6 +161,7 @@ def _in_blocks(a: DataFrame, b: DataFrame, least: float, block: int) -> DataFram
         found = matches(x["left_sorted"].tolist(), y["right_sorted"].tolist(), least) if len(x) and len(y) else []
         return pd.DataFrame(found, columns=["left_sorted", "right_sorted", "ratio"]).astype({"ratio": "float64"})
 
+    a, b = deal(a, "band", "b1", "b2"), deal(b, "band", "b1", "b2")
     return a.groupBy("band", "b1", "b2").cogroup(b.groupBy("band", "b1", "b2")).applyInPandas(meet, "left_sorted string, right_sorted string, ratio double")
 
 

@@ -12,7 +12,7 @@ from graphloom.functions.fuzzy import fuzzy_join, indel_ratio
 from graphloom.functions.text import normalize_entity, strip
 from graphloom.functions.vectors import hashed_embedding, l2sq_similarity
 from graphloom.operators.similarity import nearest
-from graphloom.storage import materialize
+from graphloom.storage import deal, materialize
 
 
 MENTION = "[A-Z][a-z]+"
@@ -77,27 +77,29 @@ def resolve(mentions: DataFrame, state: DataFrame, dim: int = 64, least: float =
     that type only; one of type ``Unknown`` or null meets those of all types.
     """
     kind = F.coalesce("entity_type", F.lit("Unknown")) if {"entity_type"} <= set(mentions.columns) & set(state.columns) else F.lit("Unknown")
-    seen = mentions.select(strip(F.col("text")).alias("mention_key"), "ord", kind.alias("entity_type")).where("mention_key <> ''")
-    seen = seen.groupBy("mention_key").agg(F.min("ord").alias("ord"), F.min_by("entity_type", F.struct("ord", "entity_type")).alias("entity_type"))
-    seen = materialize(seen.withColumn("norm", normalize_entity(F.col("mention_key"))), "mention-keys")
+    # Equal texts of a type become one row first, so that only distinct ones are stripped, normalized and sorted.
+    seen = mentions.groupBy("text", kind.alias("entity_type")).agg(F.min("ord").alias("ord"))
+    seen = deal(seen, F.xxhash64("text")).select(strip(F.col("text")).alias("mention_key"), "ord", "entity_type").where("mention_key <> ''")
+    seen = seen.withColumn("norm", normalize_entity(F.col("mention_key"))).groupBy("mention_key", "norm").agg(F.min("ord").alias("ord"), F.min_by("entity_type", F.struct("ord", "entity_type")).alias("entity_type"))
+    seen = materialize(seen, "mention-keys")
     names = state.select("canonical_name", F.explode(F.array_union(F.array("canonical_name"), F.coalesce("aliases", F.array().cast("array<string>")))).alias("alias"))
     names = materialize(names, "aliases")
     exact = seen.join(names, seen["mention_key"] == names["alias"]).groupBy("mention_key").agg(F.min("canonical_name").alias("canonical_name"))
-    rest = materialize(seen.join(exact, "mention_key", "left_anti"), "unresolved")
+    rest = materialize(deal(seen.join(exact, "mention_key", "left_anti"), F.xxhash64("mention_key")), "unresolved")
     pool = names.select(F.col("canonical_name").alias("canonical_id"), F.lower("alias").alias("alias_norm"))
     fuzzy = fuzzy_join(rest, pool, "norm", "alias_norm", ratio).groupBy(F.col("left_key").alias("norm"), "canonical_id").agg((F.max("ratio") / 100).alias("ratio"))
     fuzzy = rest.select("mention_key", "norm").join(fuzzy, "norm").select(F.col("mention_key").alias("mention"), "canonical_id", "ratio")
-    vec = hashed_embedding(rest, "mention_key", "norm", dim).join(rest.select(F.col("mention_key").alias("id"), "entity_type"), "id")
+    vec = hashed_embedding(rest, "mention_key", "norm", dim, short=True).join(rest.select(F.col("mention_key").alias("id"), "entity_type"), "id")
     vstate = hashed_embedding(state.select("canonical_name"), "canonical_name", "canonical_name", dim).join(state.select(F.col("canonical_name").alias("id"), kind.alias("entity_type")), "id")
     vec, vstate = materialize(vec, "mention-vectors"), materialize(vstate, "entity-vectors")
     near = nearest(vec.where("entity_type <> 'Unknown'"), vstate, 5, "entity_type").union(nearest(vec.where("entity_type = 'Unknown'"), vstate, 5))
-    semantic = near.select(F.col("id1").alias("mention"), F.col("id2").alias("canonical_id"), l2sq_similarity(F.col("cos")).alias("similarity"), "rank")
+    semantic = materialize(near.select(F.col("id1").alias("mention"), F.col("id2").alias("canonical_id"), l2sq_similarity(F.col("cos")).alias("similarity"), "rank"), "semantic")
     fused = materialize(fuse_scores(fuzzy, semantic, least, weight), "fused")
     fresh = materialize(rest.join(fused.select(F.col("mention").alias("mention_key")), "mention_key", "left_anti"), "fresh")
     return (
         exact.select("mention_key", "canonical_name", F.lit(False).alias("is_new"), F.lit(1.0).alias("score"))
         .union(fused.select("mention", "canonical_id", F.lit(False), "score"))
-        .union(_within_batch(fresh, dim, least, ratio, weight))
+        .union(_within_batch(fresh, vec, least, ratio, weight))
     )
 
 
@@ -120,9 +122,9 @@ def _alike(rows: DataFrame, least: float, block: int = 1024) -> DataFrame:
     return at.groupBy(F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second")).applyInPandas(link, "src long, dst long").where("src <> dst")
 
 
-def _within_batch(fresh: DataFrame, dim: int, least: float, ratio: float, weight: float) -> DataFrame:
+def _within_batch(fresh: DataFrame, vectors: DataFrame, least: float, ratio: float, weight: float) -> DataFrame:
     numbered = fresh.withColumn("k", F.xxhash64("mention_key"))
-    vec = hashed_embedding(numbered, "k", "norm", dim)
+    vec = numbered.join(vectors.select(F.col("id").alias("mention_key"), "vector"), "mention_key").select(F.col("k").alias("id"), "vector")
     # A score above least needs this similarity at any ratio, so no other pair matters.
     bound = min(least, (least - weight) / (1 - weight))
     same = F.when(F.exists("vector", lambda x: x != 0), F.xxhash64("vector")).otherwise(F.col("id"))
@@ -150,7 +152,7 @@ def _within_batch(fresh: DataFrame, dim: int, least: float, ratio: float, weight
             out.append((key, best or key, best is None, score if best else 1.0))
         return pd.DataFrame(out, columns=["mention_key", "canonical_name", "is_new", "score"])
 
-    return rows.groupBy("block").applyInPandas(replay, "mention_key string, canonical_name string, is_new boolean, score double")
+    return deal(rows, "block").groupBy("block").applyInPandas(replay, "mention_key string, canonical_name string, is_new boolean, score double")
 
 
 def merge_entities(state: DataFrame, mentions: DataFrame, resolved: DataFrame, now: str) -> DataFrame:

@@ -404,3 +404,21 @@ def test_rare_names_are_matched_and_resolved(spark, small):
     texts = {r.text for r in bindings.mentions(spark, small).select("text").distinct().collect()}
     assert {r.left_key for r in queries.token_sort_ratio_topk(spark, small).collect()} == {t.lower() for t in texts}
     assert {r.mention_key for r in queries.entity_resolution(spark, small).collect()} == texts
+
+
+def test_equal_mentions_are_one_row_before_they_are_stripped(spark):
+    rows = [(" Ann ", 5, "Person"), ("Ann", 7, "Place"), ("Ann", 3, "Unknown"), ("Bob", 9, None), ("Bob", 8, "Place"), ("  ", 1, "Place"), (None, 2, "Place")]
+    mentions = spark.createDataFrame(rows * 40, "text string, ord long, entity_type string")
+    state = spark.createDataFrame([("Zoe", None, "Person")], "canonical_name string, aliases array<string>, entity_type string")
+    got = {r.mention_key: (r.canonical_name, r.is_new, r.score) for r in entities.resolve(mentions, state).collect()}
+    assert got == {"Ann": ("Ann", True, 1.0), "Bob": ("Bob", True, 1.0)}
+
+
+def test_short_texts_are_dealt_to_a_number_of_tasks(spark):
+    from graphloom.functions.vectors import hashed_embedding
+
+    texts = spark.createDataFrame([(k, f"name {k % 37} x") for k in range(400)], "id long, text string")
+    few, many = hashed_embedding(texts, "id", "text"), hashed_embedding(texts, "id", "text", short=True)
+    assert few.exceptAll(many).count() == many.exceptAll(few).count() == 0
+    plan = many._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and "REPARTITION_BY_NUM" not in few._jdf.queryExecution().executedPlan().toString()
