@@ -8,6 +8,7 @@ of bits in a table; all checkpoints of a block are decoded side by side.
 
 from __future__ import annotations
 
+import itertools
 import struct
 import zlib
 from collections.abc import Iterator
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 
 from graphloom.llm.files import new_file, read_file
 from graphloom.llm.packing import encoder
+from graphloom.llm.tokens import CHARS
 from graphloom.storage import materialize, scratch_path
 
 MAGIC = b"GLHUF1\0\0"
@@ -151,25 +153,28 @@ def token_blocks(docs: DataFrame, path: str, end_id: int = 0) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc, end, part = encoder(path, "byte"), int(end_id).to_bytes(4, "little"), TaskContext.get().partitionId()
         kind = "<u2" if enc.whole.get_vocab_size() <= 1 << 16 else "<u4"
-        block, doc, got, have = 0, [], [], 0
+        block, doc, texts, chars = 0, [], [], 0
 
         def made():
-            sizes = np.array([len(x) // 4 for x in got], "<u4")
-            ids = np.frombuffer(b"".join(got), "<u4").astype(kind)
-            return pd.DataFrame({"part": [part], "block": [block], "wide": [kind == "<u4"], "docs": [np.array(doc, "<i8").tobytes()], "sizes": [sizes.tobytes()], "ids": [ids.tobytes()]})
+            nonlocal block
+            ids, sizes = enc.encode_all(texts, end)
+            ends = np.cumsum(sizes)
+            cuts = [0, *(np.flatnonzero(np.diff(ends // BLOCK_IDS)) + 1).tolist(), len(ends)]
+            for a, z in itertools.pairwise(cuts):
+                own = ids[ends[a] - sizes[a] : ends[z - 1]].astype(kind)
+                yield pd.DataFrame({"part": [part], "block": [block], "wide": [kind == "<u4"], "docs": [np.array(doc[a:z], "<i8").tobytes()], "sizes": [sizes[a:z].astype("<u4").tobytes()], "ids": [own.tobytes()]})
+                block += 1
 
         for b in batches:
-            for at in range(0, len(b), 200):
-                rows = b.iloc[at : at + 200]
-                for d, ids in zip(rows["doc_id"], enc.encode(rows["text"].tolist()), strict=True):
-                    doc.append(NO_ID if pd.isna(d) else int(d))
-                    got.append(ids + end)
-                    have += len(got[-1]) // 4
-                if have >= BLOCK_IDS:
-                    yield made()
-                    block, doc, got, have = block + 1, [], [], 0
+            for d, text in zip(b["doc_id"].tolist(), b["text"].tolist(), strict=True):
+                doc.append(NO_ID if pd.isna(d) else int(d))
+                texts.append(text)
+                chars += len(text or "") + 1
+                if chars >= CHARS:
+                    yield from made()
+                    doc, texts, chars = [], [], 0
         if doc:
-            yield made()
+            yield from made()
 
     spark = docs.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -392,6 +392,18 @@ def test_op8(spark, small, docs, odd, none):
     assert huffman.read_files(huffman.encode_documents(none, path)).count() == 0
 
 
+def test_op8_in_small_blocks(spark, small, odd, monkeypatch):
+    path = tokenizer_path("byte_bpe_50k.json")
+    for table in (spark.read.parquet(f"{small}/documents.parquet").limit(60), odd):
+        want = sorted(map(str, huffman.read_files(huffman.encode_documents(table, path)).collect()))
+        with monkeypatch.context() as m:
+            m.setattr(huffman, "BLOCK_IDS", 50)
+            m.setattr(huffman, "CHARS", 3_000)
+            blocks = huffman.token_blocks(table, path)
+            assert blocks.count() > 3
+            assert sorted(map(str, huffman.read_files(huffman.encode_documents(table, path)).collect())) == want
+
+
 def targets_of(size):
     names = sorted(size, key=lambda s: (s is None, s or ""))
     weight = {s: (3, 1, 2)[k % 3] for k, s in enumerate(names)}

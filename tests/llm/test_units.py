@@ -35,6 +35,18 @@ def test_encoder_is_the_library(name, kind):
     assert enc.encode([None]) == [b""]
 
 
+@pytest.mark.parametrize(("name", "kind"), [("word_bpe_49k.json", "word"), ("byte_bpe_50k.json", "byte")])
+def test_texts_side_by_side_ask_for_each_piece_once(name, kind):
+    enc, library = Encoder(tokenizer_path(name), kind), Tokenizer.from_file(tokenizer_path(name))
+    texts = ["the cat'", "s 'll", "", "'re", "e'd've'S ''t", "'", "tß' 12 é3", None, "ö" * 70, "no\0w", "l", "\n'm"] * 300
+    asked, look_up = [], enc.look_up
+    enc.look_up = lambda pieces: asked.extend(pieces) or look_up(pieces)
+    ids, sizes = enc.encode_all(texts, (7).to_bytes(4, "little"))
+    want = [[*library.encode(t or "", add_special_tokens=False).ids, 7] for t in texts]
+    assert ids.tolist() == [i for ids in want for i in ids] and sizes.tolist() == [len(w) for w in want]
+    assert 10 < len(asked) == len(set(asked) - {b""}) + asked.count(b"") < 40
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 30), max_size=80), st.integers(30, 40))
 def test_plan_is_best_fit_decreasing(lengths, capacity):
